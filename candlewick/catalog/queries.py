@@ -39,6 +39,13 @@ def query(function: Query) -> Query:
     return function
 
 
+def _stored(spark: SparkSession, sf_dir: str, day: date | None = None) -> DataFrame:
+    """Bars read from a core table, for queries that read them several times."""
+    path = new_folder(spark, "core")
+    core_table.replace_days(all_bars(spark, sf_dir, day), path)
+    return core_table.read_core(spark, path)
+
+
 def _landed(spark: SparkSession, sf_dir: str, load_date: date = LANDED) -> str:
     root = new_folder(spark, "raw")
     raw_layer.write_raw_layer(all_bars(spark, sf_dir), root, load_date)
@@ -77,9 +84,7 @@ def raw_layer_sink(spark, sf_dir):
 
 @query
 def core_table_scan(spark, sf_dir):
-    path = new_folder(spark, "core")
-    core_table.replace_days(all_bars(spark, sf_dir), path)
-    return core_table.read_core(spark, path).select(CORE_TABLE.fieldNames())
+    return _stored(spark, sf_dir).select(CORE_TABLE.fieldNames())
 
 
 @query
@@ -178,7 +183,7 @@ def filter_date_range(spark, sf_dir):
 
 @query
 def filter_followed_symbols(spark, sf_dir):
-    followed = spark.createDataFrame([(s,) for s in FOLLOWED], "symbol_name string")
+    followed = bars.symbol_list(spark, FOLLOWED)
     return bars.followed_symbols(all_bars(spark, sf_dir), followed).select(BAR_COLUMNS)
 
 
@@ -301,7 +306,7 @@ def mart_last_day(spark, sf_dir):
 
 @query
 def mart_last_day_value(spark, sf_dir):
-    return last_day_mart(all_bars(spark, sf_dir, AS_OF), AS_OF, "value")
+    return last_day_mart(_stored(spark, sf_dir, AS_OF), AS_OF, "value")
 
 
 @query
@@ -311,7 +316,7 @@ def mart_all_days(spark, sf_dir):
 
 @query
 def mart_all_days_value(spark, sf_dir):
-    return daily_marts(all_bars(spark, sf_dir), "value")
+    return daily_marts(_stored(spark, sf_dir), "value")
 
 
 # Request parameters
@@ -392,6 +397,6 @@ def extremes_intraday(spark, sf_dir):
 
 @query
 def star_schema_bars(spark, sf_dir):
-    return dimensions.star_schema(all_bars(spark, sf_dir)).facts.select(
+    return dimensions.star_schema(_stored(spark, sf_dir)).facts.select(
         "symbol_key", "timeseries_key", "timestamp", *VALUE_COLUMNS
     )

@@ -1,6 +1,8 @@
 """Row-level operators on bars: timeframes, unions, uniqueness, ordering, top rows."""
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlewick.schema import BAR_COLUMNS, BAR_KEY, VALUE_COLUMNS
@@ -34,6 +36,11 @@ def unique_bars(bars: DataFrame) -> DataFrame:
     return bars.groupBy(BAR_KEY).agg(best).select(*BAR_KEY, *[f"best.{c}" for c in VALUE_COLUMNS]).select(BAR_COLUMNS)
 
 
+def symbol_list(spark: SparkSession, names: Iterable[str]) -> DataFrame:
+    """A list of tickers as a frame whose small size the planner can see."""
+    return spark.range(1).select(F.explode(F.lit(list(names))).alias("symbol_name"))
+
+
 def followed_symbols(bars: DataFrame, symbols: DataFrame) -> DataFrame:
     """Bars of the registered tickers.
 

@@ -11,6 +11,7 @@ from typing import Literal
 from pyspark.sql import SparkSession
 
 from candlewick.functions.calendar import as_date
+from candlewick.operators.bars import symbol_list
 from candlewick.plans.loads import delta_load, initial_load
 from candlewick.plans.mart import last_day_mart
 from candlewick.sources.core_table import read_core
@@ -45,7 +46,7 @@ def run(
 ) -> None:
     """Load, then mart. Both use the same ``day``, by default the one before ``load_date``."""
     day = as_date(day) if day else as_date(load_date) - timedelta(days=1)
-    followed = spark.createDataFrame([(s,) for s in symbols], "symbol_name string") if symbols else None
+    followed = symbol_list(spark, symbols) if symbols else None
     if mode == "initial":
         initial_load(spark, raw, core, load_date, followed, quarantine)
     else:

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.calendar import as_date, on_day
 from candlewick.operators.aggregates import since_first_intraday
-from candlewick.operators.bars import followed_symbols, of_timeframe, union_bars
+from candlewick.operators.bars import followed_symbols, of_timeframe, union_bars, unique_bars
 from candlewick.schema import DAILY, INTRADAY
-from candlewick.sources.core_table import merge_bars
+from candlewick.sources.core_table import merge_bars, merge_unique_bars
 from candlewick.sources.raw_layer import malformed, scan_raw_layer, well_formed
 from candlewick.workspace import written
 
@@ -23,14 +23,11 @@ def landed_bars(
 ) -> DataFrame:
     """The bars landed on ``load_date``, for the followed ``symbols`` if given.
 
-    CSV text is parsed once, into a Parquet table of the shared folder that the
-    load then reads as often as it needs to. Lines that hold no complete bar go
-    to the ``quarantine`` path.
+    Lines that hold no complete bar go to the ``quarantine`` path.
     """
     landed = scan_raw_layer(spark, raw, load_date)
     if symbols is not None:
         landed = followed_symbols(landed, symbols)
-    landed = written(landed, "landed")
     if quarantine is not None:
         (
             malformed(landed)
@@ -63,9 +60,12 @@ def initial_load(
     symbols: DataFrame | None = None,
     quarantine: str | None = None,
 ) -> None:
-    """Load everything landed on ``load_date``, which is also the last day taken."""
-    landed = landed_bars(spark, raw, load_date, symbols, quarantine)
-    merge_bars(initial_bars(landed, load_date), core)
+    """Load everything landed on ``load_date``, which is also the last day taken.
+
+    The text is parsed once, into a Parquet table that the trim and the merge read.
+    """
+    landed = unique_bars(landed_bars(spark, raw, load_date, symbols, quarantine))
+    merge_unique_bars(initial_bars(written(landed, "landed"), load_date), core)
 
 
 def delta_load(

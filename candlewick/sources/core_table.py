@@ -49,12 +49,19 @@ def merge_bars(bars: DataFrame, path: str) -> None:
     """Add bars to the core table; a bar already there under the same key is replaced.
 
     Loading the same bars twice therefore changes nothing. Keys must be complete
-    (``well_formed`` sees to that for landed files). Only loaded
-    days are rewritten. The merged days are complete in the shared folder before
-    any stored file is touched.
+    (``well_formed`` sees to that for landed files).
+    """
+    merge_unique_bars(written(unique_bars(bars), "loaded"), path)
+
+
+def merge_unique_bars(bars: DataFrame, path: str) -> None:
+    """As :func:`merge_bars`, for bars that are unique by key and cheap to read again.
+
+    Only loaded days are rewritten. The merged days are complete in the shared
+    folder before any stored file is touched.
     """
     spark = bars.sparkSession
-    loaded = written(unique_bars(bars).select(BAR_COLUMNS), "loaded")
+    loaded = bars.select(BAR_COLUMNS)
     # One row of Parquet statistics, not data.
     days = loaded.agg(
         F.to_date(F.min("timestamp")).alias("first"), F.to_date(F.max("timestamp")).alias("last")
