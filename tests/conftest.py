@@ -14,6 +14,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         # A zone with daylight saving, far from UTC: results must not depend on it.
         .config("spark.sql.session.timeZone", "Australia/Lord_Howe")
         .getOrCreate()

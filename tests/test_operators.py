@@ -1,0 +1,125 @@
+from datetime import timedelta
+
+import pytest
+
+from candlewick.operators import aggregates, backfill, bars, dimensions
+from candlewick.operators.resample import daily_from_intraday, resample
+from candlewick.schema import BAR_COLUMNS
+from helpers import bar, count_nodes, executed_plan, frame, planned, random_bars, ts
+
+
+def _rows(df):
+    return sorted(map(tuple, df.select(BAR_COLUMNS).collect()))
+
+
+def _minutes(count=180):
+    start = ts("2024-03-01 09:58:00")
+    return [
+        bar("A", "1min", str(start + timedelta(minutes=i)), i % 7 + 1, i % 11 + 10, i % 5, i % 3 + 1, i)
+        for i in range(count)
+    ]
+
+
+def test_resampling_in_two_steps_is_the_same(spark):
+    bars_1 = frame(spark, _minutes())
+    direct = _rows(resample(bars_1, "60min"))
+    assert _rows(resample(resample(bars_1, "5min"), "60min")) == direct
+    assert [r[2].strftime("%H:%M") for r in direct] == ["09:00", "10:00", "11:00", "12:00"]
+    assert sum(r[7] for r in direct) == sum(range(180))
+
+
+def test_resampled_values(spark):
+    (first, *_) = _rows(resample(frame(spark, _minutes()), "5min"))
+    # 09:58 and 09:59 only.
+    assert first == bar("A", "5min", "2024-03-01 09:55:00", 1, 11, 0, 2, 1)
+
+
+def test_daily_bars(spark):
+    rows = _minutes() + [bar("A", "1min", "2024-03-02 00:00:00", 3, 4, 2, 3, 5), bar("A", "1min", None)]
+    daily = _rows(daily_from_intraday(frame(spark, rows)))
+    assert [r[2] for r in daily] == [ts("2024-03-01"), ts("2024-03-02")]
+    assert daily[1] == bar("A", "daily", "2024-03-02", 3, 4, 2, 3, 5)
+
+
+def test_resampling_is_a_hash_aggregate_combined_before_the_shuffle(spark):
+    plan = planned(resample(frame(spark, _minutes()), "5min"))
+    assert count_nodes(plan, "HashAggregate") == 2 and "SortAggregate" not in plan
+
+
+def test_latest_bars_against_sorting(spark):
+    rows = [bar("HOT", "1min", str(ts("2024-03-01") + timedelta(minutes=i)), volume=i) for i in range(1000)]
+    rows += random_bars(5)
+    expected = []
+    for series in {r[:2] for r in rows}:
+        expected += sorted((r for r in rows if r[:2] == series), key=lambda r: r[2])[-15:]
+    assert _rows(bars.latest_bars(frame(spark, rows), 15)) == sorted(expected, key=lambda r: r[:3])
+
+
+def test_latest_bars_limits_before_each_shuffle(spark):
+    plan = executed_plan(bars.latest_bars(frame(spark, random_bars(5)), 15))
+    assert count_nodes(plan, "WindowGroupLimit") == 4
+
+
+def test_missing_timestamps(spark):
+    intraday = frame(spark, [bar("A", "1min", None), bar("A", "1min", "2024-03-02 10:00:00"), bar("B", "1min", "2024-03-03 10:00:00")])
+    assert str(aggregates.min_date(intraday).first().min_date) == "2024-03-02"
+    assert bars.first_bar(intraday).first().timestamp == ts("2024-03-02 10:00:00")
+
+
+def test_followed_symbols_are_broadcast_by_their_size(spark):
+    bars_1 = frame(spark, random_bars(2))
+    followed = bars.followed_symbols(bars_1, bars.symbol_list(spark, ["A", "C"]))
+    assert {r.symbol_name for r in followed.collect()} == {"A", "C"}
+    assert "BroadcastHashJoin" in planned(followed)
+
+
+def test_union_keeps_duplicates_and_matches_names(spark):
+    bars_1 = frame(spark, [bar("A", "daily", "2024-03-01")])
+    other = bars_1.select(*reversed(BAR_COLUMNS))
+    assert _rows(bars.union_bars(bars_1, other, bars_1)) == [bar("A", "daily", "2024-03-01")] * 3
+
+
+def test_presentation_order(spark):
+    rows = bars.ordered_bars(frame(spark, random_bars(3))).collect()
+    keys = [(-r.timestamp.timestamp(), r.symbol_name) for r in rows]
+    assert keys == sorted(keys)
+
+
+@pytest.mark.parametrize("as_of", ["2024-02-29", "2024-02-01"])
+def test_backfill_grid_wraps_the_year(spark, as_of):
+    grid = backfill.backfill_grid(bars.symbol_list(spark, ["A"]), as_of)
+    assert [r.month for r in grid.collect()] == ["2024-02", "2024-01", "2023-12", "2023-11", "2023-10", "2023-09"]
+
+
+def test_missing_months(spark):
+    grid = backfill.backfill_grid(bars.symbol_list(spark, ["A", "B"]), "2024-03-10", 2)
+    landed = frame(spark, [bar("A", "1min", "2024-02-10 10:00:00"), bar("B", "1min", "2024-03-01 10:00:00"), bar("B", "1min", None)])
+    missing = backfill.missing_months(grid, landed)
+    assert {tuple(r) for r in missing.collect()} == {("A", "2024-03"), ("B", "2024-02")}
+
+
+def test_numbering(spark):
+    names = ["B", "A", "AA", "AAB", "AAA", "AB", "é", "Z", "z", "ZZTOP", "A", None]
+    dim = dimensions.symbol_dim(spark.createDataFrame([(n,) for n in names], "symbol_name string"))
+    expected = sorted({n for n in names if n}, key=lambda n: n.encode())
+    assert [tuple(r) for r in dim.orderBy("symbol_key").collect()] == list(enumerate(expected, 1))
+
+
+def test_stable_keys_do_not_move(spark):
+    one, two = (
+        {r.symbol_name: r.symbol_key for r in dimensions.stable_symbol_dim(bars.symbol_list(spark, names)).collect()}
+        for names in (["B"], ["A", "B"])
+    )
+    assert one["B"] == two["B"] and two["A"] != two["B"]
+
+
+def test_star_schema_round_trip(spark):
+    original = frame(spark, random_bars(4))
+    star = dimensions.star_schema(original)
+    back = star.facts.join(star.symbols, "symbol_key").join(star.timeseries, "timeseries_key")
+    assert sorted(map(repr, _rows_any(back))) == sorted(map(repr, _rows_any(original)))
+    assert "BroadcastHashJoin" in planned(star.facts)
+
+
+def _rows_any(df):
+    return [tuple(r) for r in df.select(BAR_COLUMNS).collect()]
