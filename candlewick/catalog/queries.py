@@ -97,7 +97,7 @@ def payload_screen(spark, sf_dir):
 def json_timeseries(spark, sf_dir):
     """Bars rendered as JSON payloads, one per symbol and hour, and read back."""
     hour = F.window("timestamp", "1 hour")
-    stamp = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")
+    stamp = F.col("timestamp").cast("string")
     bar = F.struct(*[F.col(c).cast("string").alias(f) for c, f in payloads.JSON_FIELDS.items()])
     # 60 one-minute bars at most.
     series = F.map_from_entries(F.collect_list(F.struct(stamp, bar)))

@@ -21,7 +21,7 @@ def landed_months(intraday: DataFrame) -> DataFrame:
     """``(symbol_name, month)`` pairs for which bars are there."""
     return (
         intraday.where(F.col("timestamp").isNotNull())
-        .select("symbol_name", F.date_format("timestamp", "yyyy-MM").alias("month"))
+        .select("symbol_name", F.date_format(F.to_date("timestamp"), "yyyy-MM").alias("month"))
         .distinct()
     )
 

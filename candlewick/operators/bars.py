@@ -27,11 +27,10 @@ def union_bars(first: DataFrame, *others: DataFrame) -> DataFrame:
 def unique_bars(bars: DataFrame) -> DataFrame:
     """One bar per (symbol, timeframe, timestamp).
 
-    Of several, the one from the last file (by path) wins, then the one with the
-    largest values, so the choice is the same on every run. This is an
+    Of several, the one landed last wins, then the one with the largest values, so the choice is the same on every run. This is an
     aggregate: copies are combined before the shuffle, however many there are.
     """
-    order = ["source_file"] if "source_file" in bars.columns else []
+    order = ["landed_at"] if "landed_at" in bars.columns else []
     best = F.max(F.struct(*order, *VALUE_COLUMNS)).alias("best")
     return bars.groupBy(BAR_KEY).agg(best).select(*BAR_KEY, *[f"best.{c}" for c in VALUE_COLUMNS]).select(BAR_COLUMNS)
 

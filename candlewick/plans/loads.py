@@ -11,7 +11,7 @@ from candlewick.operators.bars import followed_symbols, of_timeframe, union_bars
 from candlewick.schema import DAILY, INTRADAY
 from candlewick.sources.core_table import merge_bars, merge_unique_bars
 from candlewick.sources.raw_layer import malformed, scan_raw_layer, well_formed
-from candlewick.workspace import written
+from candlewick.workspace import temporary_tables
 
 
 def landed_bars(
@@ -65,7 +65,8 @@ def initial_load(
     The text is parsed once, into a Parquet table that the trim and the merge read.
     """
     landed = unique_bars(landed_bars(spark, raw, load_date, symbols, quarantine))
-    merge_unique_bars(initial_bars(written(landed, "landed"), load_date), core)
+    with temporary_tables(spark, "load") as kept_as:
+        merge_unique_bars(initial_bars(kept_as(landed, "landed"), load_date), core)
 
 
 def delta_load(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from candlewick.functions.calendar import between_days, trade_date, with_partition_columns
 from candlewick.operators.bars import unique_bars
 from candlewick.schema import BAR_COLUMNS, BAR_KEY, CORE_TABLE
-from candlewick.workspace import written
+from candlewick.workspace import temporary_tables
 
 PARTITIONS = ["yyyymm", "trade_date"]
 SORT_KEY = ["symbol_name", "timestamp", "timeseries_name"]
@@ -51,7 +51,8 @@ def merge_bars(bars: DataFrame, path: str) -> None:
     Loading the same bars twice therefore changes nothing. Keys must be complete
     (``well_formed`` sees to that for landed files).
     """
-    merge_unique_bars(written(unique_bars(bars), "loaded"), path)
+    with temporary_tables(bars.sparkSession, "merge") as kept_as:
+        merge_unique_bars(kept_as(unique_bars(bars), "loaded"), path)
 
 
 def merge_unique_bars(bars: DataFrame, path: str) -> None:
@@ -77,6 +78,7 @@ def merge_unique_bars(bars: DataFrame, path: str) -> None:
     )
     if stored.isEmpty():
         replace_days(loaded, path)
-    else:
-        kept = stored.join(loaded.select(BAR_KEY), BAR_KEY, "left_anti")
-        replace_days(written(kept.unionByName(loaded), "merged"), path)
+        return
+    others = stored.join(loaded.select(BAR_KEY), BAR_KEY, "left_anti")
+    with temporary_tables(spark, "merge") as kept_as:
+        replace_days(kept_as(others.unionByName(loaded), "merged"), path)

@@ -43,7 +43,8 @@ def screen_files(spark: SparkSession, path: str, error_marker: str, throttle_mar
     """The class of every landed file, as ``(source_file, payload_class)``.
 
     Files are read by line and their findings joined per file, so a file of any
-    size is split over tasks. Markers are single-line texts.
+    size is split over tasks. Markers are single-line texts. Spark's file sources
+    skip files of no bytes, so these are not listed.
     """
     lines = spark.read.option("recursiveFileLookup", True).text(path)
     return (
@@ -65,7 +66,7 @@ def _payload_type() -> T.StructType:
 
 
 def bars_from_json(payloads: DataFrame, text: str) -> DataFrame:
-    """One row per bar of each JSON payload in column ``text``."""
+    """One row per bar of each JSON payload in column ``text``; unreadable values are NULL."""
     parsed = payloads.select(F.from_json(text, _payload_type()).alias("p"))
     # A payload holds one series; the other fields of the struct are null.
     series = F.coalesce(
@@ -84,7 +85,7 @@ def bars_from_json(payloads: DataFrame, text: str) -> DataFrame:
         F.col("p.`Meta Data`").getItem(SYMBOL_FIELD).alias("symbol_name"), series.alias("s")
     ).select("symbol_name", "s.timeseries_name", F.explode("s.bars").alias("stamp", "bar"))
     values = {
-        name: F.col(f"bar.`{field}`").cast("bigint" if name == "volume" else PRICE)
+        name: F.col(f"bar.`{field}`").try_cast("bigint" if name == "volume" else PRICE)
         for name, field in JSON_FIELDS.items()
     }
-    return rows.withColumns({"timestamp": F.col("stamp").cast("timestamp_ntz"), **values}).select(BAR_COLUMNS)
+    return rows.withColumns({"timestamp": F.col("stamp").try_cast("timestamp_ntz"), **values}).select(BAR_COLUMNS)

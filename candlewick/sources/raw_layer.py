@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from candlewick.schema import RAW_BAR, TIMEFRAMES, VALUE_COLUMNS
 
 MALFORMED_LINE = "malformed_line"
-SOURCE_FILE = "source_file"
+LANDED_AT = "landed_at"
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -52,35 +52,42 @@ def scan_raw_layer(
 
 def _no_files(spark: SparkSession, schema: T.StructType | None) -> DataFrame:
     fields = list(schema.fields) if schema is not None else []
-    extra = [MALFORMED_LINE] if schema is not None else []
-    extra += [SOURCE_FILE, "symbol_name", "timeseries_name"]
-    fields += [T.StructField(name, T.StringType()) for name in extra]
+    if schema is not None:
+        fields.append(T.StructField(MALFORMED_LINE, T.StringType()))
+    fields.append(T.StructField(LANDED_AT, T.TimestampType()))
+    fields += [T.StructField(name, T.StringType()) for name in ("symbol_name", "timeseries_name")]
     return spark.createDataFrame([], T.StructType(fields))
 
 
 def with_path_columns(files: DataFrame) -> DataFrame:
-    """Add ``symbol_name``, ``timeseries_name`` and ``source_file`` from the file path."""
+    """Add ``symbol_name`` and ``timeseries_name`` from the folders of the file, and
+    ``landed_at``, the time the file was written."""
     path = F.col("_metadata.file_path")
-    folder = r"/([^/]+)/([^/]+)/[^/]+$"
-    symbol = _url_decoded(F.regexp_extract(path, folder, 1))
-    timeframe = _url_decoded(F.regexp_extract(path, folder, 2))
     return files.withColumns(
         {
-            SOURCE_FILE: path,
-            "symbol_name": _partition_value(symbol, "symbol_name="),
-            "timeseries_name": _partition_value(timeframe, "timeseries_name="),
+            LANDED_AT: F.col("_metadata.file_modification_time"),
+            "symbol_name": _folder_value(path, 3, "symbol_name="),
+            "timeseries_name": _folder_value(path, 2, "timeseries_name="),
         }
     )
 
 
-def _url_decoded(text: Column) -> Column:
-    # A file path is a URI: '+' stands for itself there.
-    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+def _folder_value(path: Column, place: int, prefix: str) -> Column:
+    """The folder at ``place`` from the end, decoded, without its ``key=`` if it has one.
 
+    This runs for every row, so it takes the general way only where a name is escaped.
+    """
+    folder = F.substring_index(F.substring_index(path, "/", -place), "/", 1)
+    value = F.replace(folder, F.lit(prefix), F.lit(""))
+    # A path is a URI; a key=value folder is escaped once more within it.
+    once = _url_decoded(folder)
+    decoded = F.when(folder.startswith(prefix), _url_decoded(_url_decoded(value))).otherwise(once)
+    return F.when(F.contains(folder, F.lit("%")), decoded).otherwise(value)
 
-def _partition_value(folder: Column, prefix: str) -> Column:
-    value = F.substring(folder, len(prefix) + 1, 2**31 - 1)
-    return F.when(folder.startswith(prefix), _url_decoded(value)).otherwise(folder)
+
+def _url_decoded(text: Column) -> Column:
+    # '+' stands for itself in a path.
+    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
 
 
 def _fits_schema() -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from candlewick.schema import RAW_BAR, TIMEFRAMES
 from candlewick.sources.core_table import merge_bars
 from candlewick.sources.raw_layer import MALFORMED_LINE, malformed, well_formed, with_path_columns
-from candlewick.workspace import written
+from candlewick.workspace import temporary_tables
 
 
 def landed_stream(spark: SparkSession, raw: str, timeframes: Iterable[str] = TIMEFRAMES) -> DataFrame:
@@ -31,10 +31,11 @@ def start_delta_stream(
     failure changes nothing."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        landed = written(batch, "landed")
-        merge_bars(well_formed(landed), core)
-        if quarantine is not None:
-            malformed(landed).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+        with temporary_tables(spark, "stream") as kept_as:
+            landed = kept_as(batch, "landed")
+            merge_bars(well_formed(landed), core)
+            if quarantine is not None:
+                malformed(landed).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
 
     return (
         landed_stream(spark, raw)

@@ -5,10 +5,12 @@ that is unset (a plain local session) is a temporary folder used instead.
 """
 
 import atexit
+import contextlib
 import functools
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,8 +33,26 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
     Cuts the lineage: lost executors recompute nothing before this point. The
     planner also sees the real size of the table, so it broadcasts it only
-    below ``spark.sql.autoBroadcastJoinThreshold``.
+    below ``spark.sql.autoBroadcastJoinThreshold``. The table stays, as results
+    built on it are lazy; a job that ends with a write uses
+    :func:`temporary_tables`.
     """
-    path = new_folder(df.sparkSession, label)
+    return _written_to(df, new_folder(df.sparkSession, label))
+
+
+@contextlib.contextmanager
+def temporary_tables(spark: SparkSession, label: str) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """As :func:`written`, for tables that are removed when the block ends.
+
+    After a failure they stay, as they may hold the only complete copy of what
+    was being rewritten.
+    """
+    folder = new_folder(spark, label)
+    yield lambda df, name: _written_to(df, f"{folder}/{name}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _written_to(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -62,9 +62,9 @@ def test_nothing_to_load(spark, tmp_path):
     assert read_core(spark, path).count() == 0
 
 
-def test_of_copies_the_last_file_wins(spark):
-    rows = [(*bar("A", "daily", "2024-01-30", volume=v), f) for v, f in ((5, "f1"), (1, "f2"), (1, "f2"), (9, "f0"))]
-    bars = spark.createDataFrame(rows, frame(spark, []).schema.add("source_file", "string"))
+def test_of_copies_the_last_landed_wins(spark):
+    rows = [(*bar("A", "daily", "2024-01-30", volume=v), f) for v, f in ((5, 1), (1, 2), (1, 2), (9, 0))]
+    bars = spark.createDataFrame(rows, frame(spark, []).schema.add("landed_at", "integer"))
     assert list(map(tuple, unique_bars(bars).collect())) == [bar("A", "daily", "2024-01-30", volume=1)]
 
 
