@@ -14,6 +14,7 @@ from candlewick.functions.calendar import as_date
 from candlewick.operators.bars import symbol_list
 from candlewick.plans.loads import delta_load, initial_load
 from candlewick.plans.mart import last_day_mart
+from candlewick.schema import DEFAULT_SYMBOLS
 from candlewick.sources.core_table import read_core
 from candlewick.sources.jdbc import write_jdbc
 
@@ -54,17 +55,19 @@ def run(
     rebuild_mart(spark, core, mart, day, match, **jdbc_options)
 
 
-def main() -> None:
+def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     parser.add_argument("--mode", choices=["initial", "delta"], required=True)
     for name in ("raw", "core", "mart", "load-date"):
         parser.add_argument(f"--{name}", required=True)
     parser.add_argument("--day")
-    parser.add_argument("--symbols", nargs="*")
+    parser.add_argument("--symbols", nargs="*", help="load only these; without names, the default tickers")
     parser.add_argument("--quarantine")
     parser.add_argument("--match", choices=["keyed", "value"], default="keyed")
     parser.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
-    arguments = vars(parser.parse_args())
+    arguments = vars(parser.parse_args(argv))
+    if arguments["symbols"] == []:
+        arguments["symbols"] = list(DEFAULT_SYMBOLS)
     jdbc_options = dict(item.split("=", 1) for item in arguments.pop("jdbc_option"))
     run(SparkSession.builder.appName("candlewick").getOrCreate(), **arguments, **jdbc_options)
 

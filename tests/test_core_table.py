@@ -72,3 +72,23 @@ def test_copies_are_combined_before_the_shuffle(spark):
     plan = executed_plan(unique_bars(frame(spark, [bar("A", "daily", "2024-01-30")] * 50)))
     before_shuffle = plan.split("Exchange hashpartitioning")[1]
     assert "partial_max" in before_shuffle
+
+
+def test_a_large_day_is_split_over_files(spark, tmp_path):
+    path = str(tmp_path / "core")
+    hot = spark.range(0, 400_000, 1, 16).selectExpr(
+        "'HOT' AS symbol_name",
+        "'1min' AS timeseries_name",
+        "timestamp_ntz'2024-01-15 00:00:00' + make_dt_interval(0, 0, 0, id * 0.1) AS timestamp",
+        *[f"CAST(xxhash64(id, '{c}') % 1000000 AS DECIMAL(18,4)) AS {c}" for c in ("open", "high", "low", "close")],
+        "xxhash64(id) AS volume",
+    )
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "2MB")
+    try:
+        replace_days(hot, path)
+    finally:
+        spark.conf.set(setting, before)
+    assert len(_files(path)) > 3
+    assert read_core(spark, path).count() == 400_000

@@ -1,8 +1,9 @@
 import pytest
 
+from candlewick.plans import job
 from candlewick.plans.job import run
 from candlewick.plans.loads import delta_load, initial_load
-from candlewick.schema import BAR_COLUMNS, MART_COLUMNS
+from candlewick.schema import BAR_COLUMNS, DEFAULT_SYMBOLS, MART_COLUMNS
 from candlewick.sources.core_table import read_core
 from candlewick.sources.raw_layer import write_raw_layer
 from candlewick.streaming.landing import start_delta_stream
@@ -71,6 +72,16 @@ def test_job_loads_and_rebuilds_the_mart_of_the_same_day(spark, paths, mode):
     assert again.columns == MART_COLUMNS and again.count() == 0
 
 
+def test_command_line(spark, paths, monkeypatch):
+    calls = []
+    monkeypatch.setattr(job, "run", lambda session, **arguments: calls.append(arguments))
+    base = ["--mode", "delta", "--raw", "r", "--core", "c", "--mart", "m", "--load-date", "2024-01-16"]
+    job.main([*base, "--symbols"])
+    job.main([*base, "--day", "2024-01-12", "--symbols", "A", "--jdbc-option", "dbtable=marts.last_day"])
+    assert calls[0]["symbols"] == list(DEFAULT_SYMBOLS) and calls[0]["day"] is None
+    assert calls[1]["symbols"] == ["A"] and calls[1]["dbtable"] == "marts.last_day"
+
+
 def test_stream_takes_each_landed_file_once(spark, paths, tmp_path):
     def load():
         query = start_delta_stream(spark, paths["raw"], paths["core"], paths["checkpoint"], paths["quarantine"])

@@ -39,3 +39,22 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() == 5
+
+
+# Symbol: volume, then hour and minute of largest volume, highest and lowest price on 2024-01-15.
+KNOWN = {
+    "click": (2249, "16:00", "01:32", "16:00"),
+    "error": (3289, "05:51", "02:09", "02:51"),
+    "purchase": (3146, "19:10", "00:08", "10:48"),
+    "signup": (3451, "04:08", "08:49", "20:44"),
+    "view": (3375, "23:06", "01:40", "00:14"),
+}
+
+
+@pytest.mark.parametrize(("query", "view_volume_time"), [("mart_last_day", "23:06"), ("mart_last_day_value", "00:36")])
+def test_known_mart_rows(spark, sf_dir, query, view_volume_time):
+    rows = entry_point.queries()[query](spark, sf_dir).collect()
+    times = ["timestamp_with_max_volume", "timestamp_with_max_high", "timestamp_with_min_low"]
+    found = {r.symbol_name: (r.daily_volume, *[r[t].strftime("%H:%M") for t in times]) for r in rows}
+    volume, _, high, low = KNOWN["view"]
+    assert found == KNOWN | {"view": (volume, view_volume_time, high, low)}
