@@ -22,10 +22,27 @@ def _local_folder() -> str:
     return folder
 
 
+_made: set[str] = set()
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path (not created yet) below the shared folder."""
     root = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
-    return f"{root.rstrip('/')}/candlewick/{label}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/candlewick/{label}-{uuid.uuid4().hex}"
+    _made.add(folder)
+    return folder
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Remove the folders this process made, once no frame built on them is needed."""
+    for folder in list(_made):
+        _remove(spark, folder)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _made.discard(folder)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -33,9 +50,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
     Cuts the lineage: lost executors recompute nothing before this point. The
     planner also sees the real size of the table, so it broadcasts it only
-    below ``spark.sql.autoBroadcastJoinThreshold``. The table stays, as results
-    built on it are lazy; a job that ends with a write uses
-    :func:`temporary_tables`.
+    below ``spark.sql.autoBroadcastJoinThreshold``. The table stays until
+    :func:`clean_up`, as results built on it are lazy; a job that ends with a
+    write uses :func:`temporary_tables`.
     """
     return _written_to(df, new_folder(df.sparkSession, label))
 
@@ -48,9 +65,9 @@ def temporary_tables(spark: SparkSession, label: str) -> Iterator[Callable[[Data
     was being rewritten.
     """
     folder = new_folder(spark, label)
+    _made.discard(folder)
     yield lambda df, name: _written_to(df, f"{folder}/{name}")
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _remove(spark, folder)
 
 
 def _written_to(df: DataFrame, path: str) -> DataFrame:

@@ -3,6 +3,8 @@ import os
 import pytest
 from pyspark.sql import SparkSession
 
+from candlewick.workspace import clean_up
+
 TESTDATA = os.environ.get("CANDLEWICK_TESTDATA", "/root/testdata")
 
 
@@ -21,6 +23,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clean_up(session)
     session.stop()
 
 

@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from candlewick.workspace import new_folder, temporary_tables, written
+from candlewick.workspace import clean_up, new_folder, temporary_tables, written
 
 
 def test_the_shared_folder_of_the_session_is_used(spark, tmp_path):
@@ -27,3 +27,12 @@ def test_temporary_tables_go_on_success_and_stay_on_failure(spark):
         left = kept_as(spark.range(3), "a").inputFiles()[0].removeprefix("file:")
         1 / 0
     assert os.path.exists(left)
+
+
+def test_clean_up_removes_only_what_was_made_here(spark, tmp_path):
+    made = written(spark.range(3), "test").inputFiles()[0].removeprefix("file:")
+    other = tmp_path / "other"
+    spark.range(3).write.parquet(str(other))
+    kept = os.path.dirname(os.path.dirname(os.path.dirname(made)))
+    clean_up(spark)
+    assert not os.path.exists(made) and os.path.exists(kept) and other.exists()
