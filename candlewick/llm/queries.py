@@ -5,7 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, quality_rules
+from candlewick.llm import bpe, decontamination, quality_classifier, quality_rules, toxicity
+from candlewick.llm.texts import id_fold, ship_package
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -19,6 +20,7 @@ def query(function: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -28,6 +30,13 @@ def vocabulary() -> bpe.Vocabulary:
     return bpe.Vocabulary(public_tokenizers.path(VOCABULARY))
 
 
+@query
+def op1_quality_classifier(spark, sf_dir):
+    held_out = id_fold(3) == 1
+    scored = quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query
 def op2_bpe_round_trip(spark, sf_dir):
     known = vocabulary()
@@ -49,3 +58,23 @@ def op3_quality_rules(spark, sf_dir):
         quality_rules.passes(quality_rules.PRODUCTION).alias("kept"),
         "failed_bits",
     )
+
+
+@query
+def op6_decontamination(spark, sf_dir):
+    found = decontamination.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        (F.size("matches") > 0).alias("contaminated"),
+        F.array_sort(F.array_distinct("matches.item_id")).alias("item_ids"),
+        F.array_min("matches.distance").alias("least_distance"),
+        F.size("matches").cast("bigint").alias("n_matches"),
+    )
+
+
+@query
+def op8_toxicity(spark, sf_dir):
+    held_out = id_fold(5) == 0
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", F.size("offending").cast("bigint").alias("n_offending"))

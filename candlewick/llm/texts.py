@@ -1,11 +1,14 @@
 """Helpers shared by the operators: narrow inputs, bounded Arrow pieces, words, folds."""
 
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PIECE_BYTES = 4 << 20
@@ -73,3 +76,42 @@ def list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.
     offsets = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+
+
+def fresh_name(df: DataFrame, base: str) -> str:
+    """``base``, or a longer name where the frame has that column already."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base = f"_{base}"
+    return base
+
+
+def with_computed(df: DataFrame, name: str, kind: str, make: Callable[[], Callable], text_col: str = "text", limit: int = PIECE_BYTES) -> DataFrame:
+    """All columns of ``df`` and one more; ``make()`` gives each task a function from a batch to the array of that column."""
+
+    def per_task():
+        values = make()
+        return lambda batch: pa.RecordBatch.from_arrays([*batch.columns, values(batch)], [*batch.schema.names, name])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return map_pieces(df, f"{fields}, `{name}` {kind}", per_task, text_col, limit)
+
+
+def labelled(labels: DataFrame, label_col: str, id_col: str = "doc_id") -> DataFrame:
+    """One row per labelled id: ``doc_id``, ``y`` (0 or 1). A null id or label does not count; of several, the largest does."""
+    rows = labels.select(labels[id_col].cast("bigint").alias("doc_id"), (labels[label_col] > 0).cast("int").alias("y")).dropna()
+    return rows.groupBy("doc_id").agg(F.max("y").alias("y"))
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, as they may run where it isn't installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
