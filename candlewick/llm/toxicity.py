@@ -21,11 +21,11 @@ SAMPLE_ROWS = 10_000
 """Labelled training rows of each class that the model is fitted on, at most."""
 WORDS = 1024
 """Words that the sentence model knows, at most."""
-LEAST_CHI2 = 15.0
+LEAST_CHI2 = 25.0
 LEAST_DOCUMENTS = 3
-STEPS = 30
+STEPS = 60
 RATE = 0.4
-PENALTY = 1e-4
+PENALTY = 2e-5
 LEAST_TO_NAME = 0.5
 """Probability from which a sentence is reported as offending."""
 
