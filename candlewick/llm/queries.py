@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, decontamination, quality_classifier, quality_rules, simhash, toxicity
+from candlewick.llm import bpe, decontamination, quality_classifier, quality_rules, simhash, suffix_dedup, toxicity
 from candlewick.llm.texts import id_fold, ship_package
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -83,3 +83,9 @@ def op8_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", F.size("offending").cast("bigint").alias("n_offending"))
+
+
+@query
+def op9_suffix_dedup(spark, sf_dir):
+    left = suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
