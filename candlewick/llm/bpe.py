@@ -173,12 +173,15 @@ class Encoder:
     another character, so the pattern gives the same pre-tokens within each chunk,
     unless the space stands beside other white space: such texts, and those with
     special tokens, are cut by the pattern itself. Different chunks go through the pair index.
+
+    With ``literal``, text that spells a special token is ordinary text.
     """
 
-    def __init__(self, vocabulary: Vocabulary) -> None:
+    def __init__(self, vocabulary: Vocabulary, literal: bool = False) -> None:
         self.vocabulary = vocabulary
         self.pattern = regex.compile(PATTERN)
-        special = "|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True)))
+        self.special_ids = {} if literal else vocabulary.special
+        special = "|".join(map(regex.escape, sorted(self.special_ids, key=len, reverse=True)))
         self.special = regex.compile(f"({special})") if special else None
         self._forget()
 
@@ -189,7 +192,7 @@ class Encoder:
         self.counts = np.empty(0, np.int64)
 
     def _chunks(self, text: str) -> list[str]:
-        special = any(s in text for s in self.vocabulary.special)
+        special = any(s in text for s in self.special_ids)
         if not special and "  " not in text and "\0" not in text and not any(b in text and (f" {b}" in text or f"{b} " in text) for b in _BLANKS):
             return text.replace(" ", "\0 ").removeprefix("\0").split("\0")
         if not special:
@@ -199,7 +202,7 @@ class Encoder:
 
     def _learn(self, chunks: list[str]) -> None:
         """Ids of chunks that were not met before."""
-        special = self.vocabulary.special
+        special = self.special_ids
         split = [[] if c in special else self.pattern.findall(c) for c in chunks]
         pairs = PairIndex(self.vocabulary, [t.encode() for tokens in split for t in tokens])
         pairs.merge()

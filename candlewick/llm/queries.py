@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, decontamination, quality_classifier, quality_rules, simhash, suffix_dedup, toxicity
+from candlewick.llm import bpe, decontamination, quality_classifier, quality_rules, simhash, suffix_dedup, token_counts, toxicity
 from candlewick.llm.texts import id_fold, ship_package
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -89,3 +89,9 @@ def op8_toxicity(spark, sf_dir):
 def op9_suffix_dedup(spark, sf_dir):
     left = suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op10_token_counts(spark, sf_dir):
+    known = vocabulary()
+    return token_counts.counts_by_document(table(spark, sf_dir, "documents"), known, known.special["<|endoftext|>"])
