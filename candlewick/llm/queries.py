@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, decontamination, quality_classifier, quality_rules, simhash, suffix_dedup, token_counts, toxicity
+from candlewick.llm import bpe, decontamination, katz, quality_classifier, quality_rules, simhash, suffix_dedup, token_counts, toxicity
 from candlewick.llm.texts import id_fold, ship_package
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -65,6 +65,11 @@ def op4_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", simhash.hex_print().alias("fingerprint"), "component_id")
 
 
+@query
+def op5_katz_scores(spark, sf_dir):
+    return katz.scores(table(spark, sf_dir, "documents"), id_fold(7) != 2)
+
+
 @query
 def op6_decontamination(spark, sf_dir):
     found = decontamination.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
