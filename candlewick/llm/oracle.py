@@ -1,5 +1,7 @@
 """The same results as DuckDB SQL, where SQL can express them."""
 
+from candlewick.llm import licenses
+
 ORACLE_SQL: dict[str, str] = {}
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
@@ -31,3 +33,50 @@ b AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
  failed_bits & 3 <> 0 AS base_failed, failed_bits = 0 AS kept, failed_bits FROM b
 """
+
+
+_TEMPLATES = ", ".join(f"('{name}', '{text}')" for name, text in licenses.TEMPLATES.items())
+_ROWS = "(SELECT row_number() OVER () AS r, * FROM documents)"
+
+ORACLE_SQL["op7_license_scan"] = rf"""
+WITH files AS MATERIALIZED (
+ SELECT r, doc_id, concat_ws('/', source, lang, doc_id) AS path, coalesce(text, '') AS t FROM {_ROWS}),
+placed AS (
+ SELECT *, CASE WHEN contains(path, '/') THEN regexp_replace(path, '/[^/]*$', '') ELSE '' END AS dir,
+  regexp_matches(regexp_extract(path, '[^/]*$'), '{licenses.LICENCE_NAME}') AS named FROM files),
+templates(licence, body) AS (VALUES {_TEMPLATES}),
+template_terms AS (
+ SELECT licence, term, count(*) AS n FROM (SELECT licence, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) AS term FROM templates) GROUP BY ALL),
+idf AS (SELECT term, ln((1 + (SELECT count(*) FROM templates)) / (1 + count(*))) + 1 AS idf FROM template_terms GROUP BY term),
+template_weights AS (
+ SELECT licence, term, n * idf / sqrt(sum(n * idf * n * idf) OVER (PARTITION BY licence)) AS w FROM template_terms JOIN idf USING (term)),
+units AS (
+ SELECT r, false AS whole, unnest(list_distinct(string_split(t, chr(10)) || string_split_regex(t, '\n[\t\r ]*\n'))) AS u FROM files
+ UNION ALL SELECT r, true, t FROM files),
+numbered AS (SELECT row_number() OVER () AS k, r, whole, u FROM units),
+counted AS (
+ SELECT k, r, whole, term, count(*) AS n FROM (SELECT k, r, whole, unnest(regexp_extract_all(lower(u), '[a-z0-9]+')) AS term FROM numbered) GROUP BY ALL),
+weighted AS (
+ SELECT k, r, whole, term, n * coalesce(idf, ln(1 + (SELECT count(*) FROM templates)) + 1) AS x FROM counted LEFT JOIN idf USING (term)),
+norms AS (SELECT k, sqrt(sum(x * x)) AS norm FROM weighted GROUP BY k),
+cosines AS (
+ SELECT r, whole, licence, round(sum(x * w) / any_value(norm), 6) AS c
+ FROM weighted JOIN template_weights USING (term) JOIN norms USING (k) GROUP BY k, r, whole, licence),
+own AS (
+ SELECT r, first(licence ORDER BY c DESC, licence) AS own, max(c) AS c, max(CASE WHEN whole THEN c END) AS wc
+ FROM cosines WHERE c >= {licenses.THRESHOLD} GROUP BY r),
+rows AS (SELECT * FROM placed LEFT JOIN own USING (r)),
+by_dir AS (
+ SELECT dir, first(own ORDER BY c DESC, own) AS licence, max(c) AS c FROM rows
+ WHERE own IS NOT NULL AND (named OR coalesce(wc, 0) >= {licenses.FILE_THRESHOLD}) GROUP BY dir),
+near AS (
+ SELECT d.dir, b.dir AS directory, b.licence, b.c FROM (SELECT DISTINCT dir FROM placed) d
+ JOIN by_dir b ON b.dir = d.dir OR b.dir = '' OR starts_with(d.dir, b.dir || '/')),
+nearest AS (
+ SELECT dir, first(directory ORDER BY length(directory) DESC) AS directory, first(licence ORDER BY length(directory) DESC) AS licence,
+  first(c ORDER BY length(directory) DESC) AS c FROM near GROUP BY dir)
+SELECT doc_id, path, coalesce(own, n.licence) AS licence, coalesce(rows.c, n.c) AS cosine,
+ CASE WHEN own IS NOT NULL THEN 'own' WHEN n.dir IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+ CASE WHEN own IS NULL THEN n.directory END AS directory
+FROM rows LEFT JOIN nearest n ON n.dir = rows.dir
+"""

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, decontamination, katz, quality_classifier, quality_rules, simhash, suffix_dedup, token_counts, toxicity
+from candlewick.llm import bpe, decontamination, katz, licenses, quality_classifier, quality_rules, simhash, suffix_dedup, token_counts, toxicity
 from candlewick.llm.texts import id_fold, ship_package
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -82,6 +82,12 @@ def op6_decontamination(spark, sf_dir):
     )
 
 
+@query
+def op7_license_scan(spark, sf_dir):
+    files = table(spark, sf_dir, "documents")
+    return licenses.scan(files, F.concat_ws("/", "source", "lang", "doc_id"))
+
+
 @query
 def op8_toxicity(spark, sf_dir):
     held_out = id_fold(5) == 0

@@ -180,3 +180,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def hex_print(fp: str = "fp"):
     """Sixteen lowercase hex digits."""
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs`` with all its columns, less every document that is in a class with a smaller id; one row per class stays.
+
+    Of several rows that share the id that stays, one does. Rows without an id can't be
+    told apart and all stay.
+    """
+    found = written(near_duplicates(docs, id_col, text_col, size, max_bits).select("doc_id", "component_id"), "classes")
+    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias(id_col)).distinct()
+    left = docs.join(gone, id_col, "left_anti")
+    shared = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select(F.col("doc_id").alias(id_col))
+    if shared.isEmpty():
+        return left
+    shared = written(shared, "shared-ids")
+    return left.join(shared, id_col, "left_anti").unionByName(left.join(shared, id_col, "left_semi").dropDuplicates([id_col]))

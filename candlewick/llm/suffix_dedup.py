@@ -19,11 +19,13 @@ its own, so the most frequent passage leaves a task once.
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from candlewick.llm.texts import column, fresh_name, octets, pieces
 from candlewick.workspace import written
@@ -332,3 +334,12 @@ def _cut(text: bytes, cuts: tuple[np.ndarray, np.ndarray] | None, length: int) -
     turns = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
     spans = list(zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True))
     return len(text), int(gone.sum()), len(spans), spans, np.frombuffer(text, np.uint8)[~gone].tobytes()
+
+
+def readable(kept: str) -> Column:
+    """Kept bytes as text; what a cut has left of a character goes."""
+
+    def text(values: pd.Series) -> pd.Series:
+        return values.map(lambda b: bytes(b).decode("utf-8", "ignore"), na_action="ignore")
+
+    return F.pandas_udf(text, StringType())(kept)
