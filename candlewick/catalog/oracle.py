@@ -168,6 +168,31 @@ ORACLE_SQL: dict[str, str] = {
         f"CASE WHEN trade_date = {AS_OF} THEN volume + 1 ELSE volume END AS volume",
         "dated",
     ),
+    "pipeline_delta_out_of_order": _bars(
+        'symbol_name, timeseries_name, bar_ts AS "timestamp", open, high, low, close, '
+        f"CASE WHEN trade_date = {AS_OF} THEN volume + 1 ELSE volume END AS volume",
+        "dated",
+    ),
+    "pipeline_screened": _bars(ALL_COLUMNS),
+    "pipeline_quarantine": f"""{BARS} refused AS (
+        SELECT 'click' AS symbol_name, '1min' AS timeseries_name, CAST(NULL AS TIMESTAMP) AS "timestamp", CAST(NULL AS BIGINT) AS volume,
+               '{{"Error Message": "' || n_name || '"}}' AS malformed_line, 'error' AS payload_class FROM nation
+        UNION ALL SELECT 'view', '1min', NULL, NULL, 'broken,' || r_name, 'malformed' FROM region
+        UNION ALL SELECT 'purchase', 'daily', NULL, NULL, 'Thank you for using Alpha Vantage! ' || r_name, 'throttled' FROM region
+        UNION ALL SELECT 'purchase', 'daily', bar_ts, volume + 7, NULL, 'throttled' FROM daily)
+      SELECT DATE '2024-01-31' AS load_date, * FROM refused""",
+    "json_timeseries_unreadable": "SELECT doc_id, text, 'not json' AS reason FROM documents",
+    "resample_5min_from_core": _resample(5),
+    "symbol_dim_grown": f"""{BARS} named AS (SELECT DISTINCT symbol_name, symbol_name NOT IN ('purchase', 'view') AS later FROM intraday)
+      SELECT row_number() OVER (ORDER BY later, symbol_name) AS symbol_key, symbol_name FROM named""",
+    "mart_full": _mart(
+        True,
+        "symbol_key, mart.* EXCLUDE (trade_date), "
+        "(CAST(daily_close AS DOUBLE) - CAST(daily_open AS DOUBLE)) * 100 / nullif(CAST(daily_open AS DOUBLE), 0) AS pct_change_from_open",
+        f"JOIN day_symbols USING (symbol_name) WHERE trade_date = {AS_OF}",
+        ", day_symbols AS (SELECT symbol_name, row_number() OVER (ORDER BY symbol_name) AS symbol_key "
+        f"FROM (SELECT DISTINCT symbol_name FROM dated WHERE trade_date = {AS_OF}))",
+    ),
     "pipeline_initial_then_mart": _mart(True, *_ONE_DAY),
     "pipeline_delta_then_mart": _mart(True, *_ONE_DAY),
     "mart_last_day": _mart(True, *_ONE_DAY),

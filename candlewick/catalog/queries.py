@@ -16,9 +16,10 @@ from candlewick.functions.prices import daily_volatility, pct_change_from_open
 from candlewick.operators import aggregates, backfill, bars, dimensions, lookups
 from candlewick.operators.resample import daily_from_intraday, resample
 from candlewick.plans.job import run
-from candlewick.plans.loads import delta_bars, delta_load, initial_load
+from candlewick.plans.loads import delta_bars, delta_load, initial_load, quarantine_of
 from candlewick.plans.mart import daily_marts, last_day_mart
-from candlewick.schema import BAR_COLUMNS, CORE_TABLE, DAILY, INTRADAY, RAW_BAR, VALUE_COLUMNS
+from candlewick.schema import BAR_COLUMNS, DAILY, INTRADAY, RAW_BAR, VALUE_COLUMNS
+from candlewick.schema import THROTTLE_MARKER as THROTTLE_TEXT
 from candlewick.sources import core_table, payloads, raw_layer
 from candlewick.workspace import new_folder, written
 
@@ -84,7 +85,7 @@ def raw_layer_sink(spark, sf_dir):
 
 @query
 def core_table_scan(spark, sf_dir):
-    return _stored(spark, sf_dir).select(CORE_TABLE.fieldNames())
+    return _stored(spark, sf_dir).select(*BAR_COLUMNS, *core_table.PARTITIONS)
 
 
 @query
@@ -117,6 +118,12 @@ def json_timeseries(spark, sf_dir):
     return payloads.bars_from_json(rendered, "payload")
 
 
+@query
+def json_timeseries_unreadable(spark, sf_dir):
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return payloads.unreadable_payloads(texts, "text").select("doc_id", "text", "reason")
+
+
 # Projections and scalar expressions
 
 
@@ -283,6 +290,48 @@ def pipeline_delta(spark, sf_dir):
     return core_table.read_core(spark, core).select(BAR_COLUMNS)
 
 
+@query
+def pipeline_delta_out_of_order(spark, sf_dir):
+    """As ``pipeline_delta``, and then the older landing once more: the newer values stay."""
+    raw, core = _landed(spark, sf_dir), new_folder(spark, "core")
+    initial_load(spark, raw, core, LANDED)
+    corrected = all_bars(spark, sf_dir).withColumn("volume", F.col("volume") + 1)
+    raw_layer.write_raw_layer(corrected, raw, LANDED_NEXT)
+    for load_date in (LANDED_NEXT, LANDED):
+        delta_load(spark, raw, core, load_date, AS_OF)
+    return core_table.read_core(spark, core).select(BAR_COLUMNS)
+
+
+def _landed_with_refusals(spark, sf_dir):
+    """Everything landed, with an error text per nation, a slow-down text per region among copies of all
+    daily bars with other volumes, and a broken line per region in files of their own."""
+    root = _landed(spark, sf_dir)
+    place = f"{root}/load_date={LANDED}/symbol_name={{}}/timeseries_name={{}}"
+    nations = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.concat(F.lit('{"Error Message": "'), "n_name", F.lit('"}')))
+    regions = spark.read.parquet(f"{sf_dir}/region.parquet")
+    slow = regions.select(F.concat_ws(" ", F.lit(THROTTLE_TEXT), "r_name"))
+    daily = daily_bars(spark, sf_dir).select(F.concat_ws(",", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"), "open", "high", "low", "close", F.col("volume") + 7))
+    broken = regions.select(F.concat(F.lit("broken,"), "r_name"))
+    for lines, symbol, timeframe in ((nations, "click", INTRADAY), (daily.union(slow).coalesce(1), "purchase", DAILY), (broken, "view", INTRADAY)):
+        lines.write.mode("append").text(place.format(symbol, timeframe))
+    return root
+
+
+@query
+def pipeline_screened(spark, sf_dir):
+    core = new_folder(spark, "core")
+    initial_load(spark, _landed_with_refusals(spark, sf_dir), core, LANDED)
+    return core_table.read_core(spark, core).select(BAR_COLUMNS)
+
+
+@query
+def pipeline_quarantine(spark, sf_dir):
+    core = new_folder(spark, "core")
+    initial_load(spark, _landed_with_refusals(spark, sf_dir), core, LANDED)
+    kept = spark.read.parquet(quarantine_of(core))
+    return kept.select("load_date", "symbol_name", "timeseries_name", "timestamp", "volume", "malformed_line", "payload_class")
+
+
 def _load_then_mart(spark, sf_dir, mode):
     core, mart = new_folder(spark, "core"), new_folder(spark, "mart")
     run(spark, mode, _landed(spark, sf_dir), core, mart, LANDED, AS_OF)
@@ -299,6 +348,14 @@ def pipeline_delta_then_mart(spark, sf_dir):
     return _load_then_mart(spark, sf_dir, "delta")
 
 
+@query
+def mart_full(spark, sf_dir):
+    """The job's mart with surrogate key and change from the open; the day's symbols are numbered when it is built."""
+    core, mart = new_folder(spark, "core"), new_folder(spark, "mart")
+    run(spark, "delta", _landed(spark, sf_dir), core, mart, LANDED, AS_OF, full=True)
+    return spark.read.parquet(mart)
+
+
 @query
 def mart_last_day(spark, sf_dir):
     return last_day_mart(all_bars(spark, sf_dir, AS_OF), AS_OF)
@@ -351,6 +408,12 @@ def resample_5min(spark, sf_dir):
     return resample(intraday_bars(spark, sf_dir), "5min")
 
 
+@query
+def resample_5min_from_core(spark, sf_dir):
+    """From a table that holds daily bars as well."""
+    return resample(_stored(spark, sf_dir), "5min")
+
+
 @query
 def resample_15min(spark, sf_dir):
     return resample(intraday_bars(spark, sf_dir), "15min")
@@ -384,6 +447,15 @@ def symbol_dim(spark, sf_dir):
     return dimensions.symbol_dim(intraday_bars(spark, sf_dir))
 
 
+@query
+def symbol_dim_grown(spark, sf_dir):
+    """Two of the symbols first, then all: the first keys stay."""
+    path = new_folder(spark, "symbol-table")
+    named = intraday_bars(spark, sf_dir)
+    dimensions.extend_symbol_table(named.where(F.col("symbol_name").isin("purchase", "view")), path)
+    return dimensions.extend_symbol_table(named, path)
+
+
 @query
 def mart_with_key(spark, sf_dir):
     symbols = written(dimensions.symbol_dim(intraday_bars(spark, sf_dir)), "symbols")

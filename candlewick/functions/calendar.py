@@ -4,7 +4,8 @@ Every function takes its day as a parameter; none reads the clock, so a query
 gives the same result whenever it runs.
 """
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,13 @@ def as_date(day: date | str) -> date:
     return day if isinstance(day, date) else date.fromisoformat(day)
 
 
+def previous_local_day(instant: str | datetime, zone: str) -> date:
+    """The day before the one that it is in ``zone`` at ``instant``; an instant without an offset is in UTC."""
+    at = datetime.fromisoformat(instant) if isinstance(instant, str) else instant
+    at = at if at.tzinfo else at.replace(tzinfo=timezone.utc)
+    return at.astimezone(ZoneInfo(zone)).date() - timedelta(days=1)
+
+
 def midnight(day: date | str) -> Column:
     """The zone-free timestamp at which ``day`` starts."""
     return F.lit(as_date(day)).cast("timestamp_ntz")

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.calendar import trade_date
+from candlewick.schema import DAILY
 
 
 def max_volume(intraday: DataFrame, *extra_keys: str) -> DataFrame:
@@ -38,7 +39,9 @@ def earliest_where_largest(value: Column, ts: Column | None = None) -> Column:
 
 def intraday_extremes(intraday: DataFrame) -> DataFrame:
     """Per symbol and day, the earliest bar of the largest volume, the highest and the
-    lowest price among the day's own intraday bars (no daily bar is needed)."""
+    lowest price among the day's own intraday bars (no daily bar is needed, and any in the frame takes no part)."""
+    if "timeseries_name" in intraday.columns:
+        intraday = intraday.where(F.col("timeseries_name") != DAILY)
     return intraday.groupBy(trade_date().alias("trade_date"), "symbol_name").agg(
         earliest_where_largest(F.col("volume")).alias("timestamp_with_max_volume"),
         earliest_where_largest(F.col("high")).alias("timestamp_with_max_high"),

@@ -5,7 +5,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candlewick.schema import BAR_COLUMNS, BAR_KEY, VALUE_COLUMNS
+from candlewick.schema import BAR_COLUMNS, BAR_KEY, LANDING, VALUE_COLUMNS
 
 
 def of_timeframe(bars: DataFrame, timeframe: str) -> DataFrame:
@@ -24,20 +24,23 @@ def union_bars(first: DataFrame, *others: DataFrame) -> DataFrame:
     return first
 
 
-def unique_bars(bars: DataFrame) -> DataFrame:
+def unique_bars(bars: DataFrame, keep_landing: bool = False) -> DataFrame:
     """One bar per (symbol, timeframe, timestamp).
 
-    Of several, the one landed last wins, then the one with the largest values, so the choice is the same on every run. This is an
+    Of several, the one of the latest load date wins, then the one landed last, then the one
+    with the largest values, so the choice is the same on every run. This is an
     aggregate: copies are combined before the shuffle, however many there are.
     """
-    order = ["landed_at"] if "landed_at" in bars.columns else []
+    order = [c for c in LANDING.fieldNames() if c in bars.columns]
     best = F.max(F.struct(*order, *VALUE_COLUMNS)).alias("best")
-    return bars.groupBy(BAR_KEY).agg(best).select(*BAR_KEY, *[f"best.{c}" for c in VALUE_COLUMNS]).select(BAR_COLUMNS)
+    kept = [*VALUE_COLUMNS, *(order if keep_landing else [])]
+    chosen = bars.groupBy(BAR_KEY).agg(best).select(*BAR_KEY, *[f"best.{c}" for c in kept])
+    return chosen.select(*BAR_COLUMNS, *(order if keep_landing else []))
 
 
 def symbol_list(spark: SparkSession, names: Iterable[str]) -> DataFrame:
     """A list of tickers as a frame whose small size the planner can see."""
-    return spark.range(1).select(F.explode(F.lit(list(names))).alias("symbol_name"))
+    return spark.range(1).select(F.explode(F.lit(list(names)).cast("array<string>")).alias("symbol_name"))
 
 
 def followed_symbols(bars: DataFrame, symbols: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """The loads: raw layer to core table, in full or for one day."""
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,34 +11,36 @@ from candlewick.operators.aggregates import since_first_intraday
 from candlewick.operators.bars import followed_symbols, of_timeframe, union_bars, unique_bars
 from candlewick.schema import DAILY, INTRADAY
 from candlewick.sources.core_table import merge_bars, merge_unique_bars
-from candlewick.sources.raw_layer import malformed, scan_raw_layer, well_formed
+from candlewick.sources.payloads import screened
+from candlewick.sources.raw_layer import scan_raw_layer
 from candlewick.workspace import temporary_tables
 
 
+def quarantine_of(core: str) -> str:
+    """Where refused lines go unless a load names a place: beside the core table."""
+    return f"{core.rstrip('/')}_quarantine"
+
+
 def landed_bars(
     spark: SparkSession,
     raw: str,
     load_date: date | str,
+    quarantine: str,
+    kept_as: Callable[[DataFrame, str], DataFrame],
     symbols: DataFrame | None = None,
-    quarantine: str | None = None,
 ) -> DataFrame:
     """The bars landed on ``load_date``, for the followed ``symbols`` if given.
 
-    Lines that hold no complete bar go to the ``quarantine`` path.
+    The text is parsed once, into a table that the bars and the refused lines are split
+    from. Refused lines replace those that an earlier load of the same date has left
+    in ``quarantine``, also when there are none any more.
     """
     landed = scan_raw_layer(spark, raw, load_date)
     if symbols is not None:
         landed = followed_symbols(landed, symbols)
-    if quarantine is not None:
-        (
-            malformed(landed)
-            .withColumn("load_date", F.lit(as_date(load_date)))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("load_date")
-            .parquet(quarantine)
-        )
-    return well_formed(landed)
+    bars, refused = screened(kept_as(landed, "landed"))
+    refused.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/load_date={as_date(load_date)}")
+    return bars.withColumn("load_date", F.lit(as_date(load_date)))
 
 
 def initial_bars(landed: DataFrame, today: date | str) -> DataFrame:
@@ -62,11 +65,14 @@ def initial_load(
 ) -> None:
     """Load everything landed on ``load_date``, which is also the last day taken.
 
-    The text is parsed once, into a Parquet table that the trim and the merge read.
+    Daily bars are trimmed to the span of the 1-minute bars, so daily bars alone are an error.
     """
-    landed = unique_bars(landed_bars(spark, raw, load_date, symbols, quarantine))
     with temporary_tables(spark, "load") as kept_as:
-        merge_unique_bars(initial_bars(kept_as(landed, "landed"), load_date), core)
+        found = landed_bars(spark, raw, load_date, quarantine or quarantine_of(core), kept_as, symbols)
+        bars = kept_as(unique_bars(found, keep_landing=True), "unique")
+        if of_timeframe(bars, INTRADAY).isEmpty() and not bars.isEmpty():
+            raise ValueError(f"no {INTRADAY} bars were landed on {load_date}: nothing says where to trim the daily ones")
+        merge_unique_bars(initial_bars(bars, load_date), core)
 
 
 def delta_load(
@@ -79,5 +85,6 @@ def delta_load(
     quarantine: str | None = None,
 ) -> None:
     """Load only ``day`` from what was landed on ``load_date``. Repeating it changes nothing."""
-    landed = landed_bars(spark, raw, load_date, symbols, quarantine)
-    merge_bars(delta_bars(landed, day), core)
+    with temporary_tables(spark, "load") as kept_as:
+        found = landed_bars(spark, raw, load_date, quarantine or quarantine_of(core), kept_as, symbols)
+        merge_bars(delta_bars(found, day), core)

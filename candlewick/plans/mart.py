@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.calendar import on_day, trade_date
-from candlewick.functions.prices import daily_volatility
+from candlewick.functions.prices import daily_volatility, pct_change_from_open
 from candlewick.operators.aggregates import earliest_where_largest
 from candlewick.operators.bars import of_timeframe, project_daily
+from candlewick.operators.dimensions import with_symbol_key
 from candlewick.operators.lookups import Match, max_high_time, max_volume_time, min_low_time
 from candlewick.schema import DAILY, INTRADAY, MART_COLUMNS, TIMEFRAMES
 
@@ -27,6 +28,11 @@ def last_day_mart(bars: DataFrame, day: date | str, match: Match = "keyed") -> D
     return daily_marts(on_day(bars, day), match).select(MART_COLUMNS)
 
 
+def full_mart(mart: DataFrame, symbols: DataFrame) -> DataFrame:
+    """The mart with the surrogate key of ``symbols`` first and the change from the open last."""
+    return with_symbol_key(mart.withColumn("pct_change_from_open", pct_change_from_open()), symbols)
+
+
 def _keyed(bars: DataFrame) -> DataFrame:
     """One scan, one shuffle, no join.
 

@@ -15,6 +15,10 @@ TIMEFRAMES = (DAILY, INTRADAY)
 # The tickers followed by default.
 DEFAULT_SYMBOLS = ("TSLA", "AAPL", "NVDA", "AMD", "GOOG")
 
+# Texts by which the vendor's service refuses a request, and asks to slow down.
+ERROR_MARKER = "Error Message"
+THROTTLE_MARKER = "Thank you for using Alpha Vantage!"
+
 PRICE = T.DecimalType(18, 4)
 
 # A landed CSV file, in file order (CSV columns bind by position).
@@ -37,10 +41,14 @@ CORE_BAR = T.StructType(
     ]
 )
 
-# The stored table adds the columns it is partitioned by.
+# When a stored bar was landed: the later one of two wins, whichever is loaded last.
+LANDING = T.StructType([T.StructField("load_date", T.DateType()), T.StructField("landed_at", T.TimestampType())])
+
+# The stored table adds the landing and the columns it is partitioned by.
 CORE_TABLE = T.StructType(
     [
         *CORE_BAR.fields,
+        *LANDING.fields,
         T.StructField("yyyymm", T.IntegerType()),
         T.StructField("trade_date", T.DateType()),
     ]

@@ -1,32 +1,64 @@
 """The core table: Parquet bars in month folders, one folder per trading day within.
 
 The day level keeps a nightly load from rewriting a whole month, and lets the
-last-day mart read one day's files.
+last-day mart read one day's files. A stored bar carries its load date and landing time.
+
+Days are replaced through a pending folder within the table (readers skip it, as its name starts with an
+underscore): the new days are complete in it, and marked so, before a stored day is touched.
+What a load leaves behind when it is cut off, the next one finishes (marked) or drops
+(not marked). Loads of one table take turns.
 """
 
+import uuid
+from datetime import date, timedelta
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.functions.calendar import between_days, trade_date, with_partition_columns
+from candlewick.functions.calendar import as_date, between_days, trade_date, with_partition_columns
 from candlewick.operators.bars import unique_bars
-from candlewick.schema import BAR_COLUMNS, BAR_KEY, CORE_TABLE
+from candlewick.schema import BAR_COLUMNS, CORE_TABLE, LANDING
+from candlewick.sources import folders
 from candlewick.workspace import temporary_tables
 
 PARTITIONS = ["yyyymm", "trade_date"]
 SORT_KEY = ["symbol_name", "timestamp", "timeseries_name"]
+STORED = [*BAR_COLUMNS, *LANDING.fieldNames()]
+PENDING, COMPLETE = "_pending", "_COMPLETE"
+
+
+def day_folders(spark: SparkSession, path: str, first: date | str, last: date | str) -> list[str]:
+    """The stored folders of ``first`` to ``last``; asks for each day, lists nothing else."""
+    first, last = as_date(first), as_date(last)
+    days = [first + timedelta(days=i) for i in range((last - first).days + 1)]
+    named = [f"{path.rstrip('/')}/yyyymm={d.year * 100 + d.month}/trade_date={d}" for d in days]
+    return [f for f in named if folders.exists(spark, f)]
 
 
-def read_core(spark: SparkSession, path: str) -> DataFrame:
-    """The stored bars; an absent table reads as an empty one."""
+def read_core(spark: SparkSession, path: str, first: date | str | None = None, last: date | str | None = None) -> DataFrame:
+    """The stored bars, with ``first`` and ``last`` of these days only; an absent table reads as an empty one.
+
+    With days only their folders are listed, however many the table has.
+    """
+    reader = spark.read.schema(CORE_TABLE)
+    if first is not None and last is not None:
+        found = day_folders(spark, path, first, last)
+        return between_days(reader.option("basePath", path).parquet(*found), first, last) if found else spark.createDataFrame([], CORE_TABLE)
     try:
-        return spark.read.schema(CORE_TABLE).parquet(path)
+        return reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], CORE_TABLE)
 
 
+def with_landing(bars: DataFrame) -> DataFrame:
+    """The stored columns; bars that say nothing of their landing count as landed now."""
+    defaults = {"load_date": F.lit(None).cast("date"), "landed_at": F.current_timestamp()}
+    return bars.withColumns({c: v for c, v in defaults.items() if c not in bars.columns}).select(STORED)
+
+
 def replace_days(bars: DataFrame, path: str) -> None:
     """Write bars, replacing exactly the days they belong to.
 
@@ -34,36 +66,60 @@ def replace_days(bars: DataFrame, path: str) -> None:
     ones by size, so neither a busy day nor a hot symbol ends up in one task.
     Files are sorted for row-group skipping by symbol and time.
     """
+    spark = bars.sparkSession
+    staged = f"{path.rstrip('/')}/{PENDING}/{uuid.uuid4().hex}"
     (
-        with_partition_columns(bars.select(BAR_COLUMNS))
+        with_partition_columns(with_landing(bars))
         .hint("rebalance", *PARTITIONS)
         .sortWithinPartitions(*PARTITIONS, *SORT_KEY)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS)
-        .parquet(path)
+        .write.partitionBy(*PARTITIONS)
+        .parquet(staged)
     )
+    folders.mark(spark, f"{staged}/{COMPLETE}")
+    _move_in(spark, staged, path)
+
+
+def _move_in(spark: SparkSession, staged: str, path: str) -> None:
+    """Put every staged day in its place; a day is staged until it is there."""
+    for month in folders.children(spark, staged):
+        if not month.startswith(f"{PARTITIONS[0]}="):
+            continue
+        for day in folders.children(spark, f"{staged}/{month}"):
+            target = f"{path.rstrip('/')}/{month}/{day}"
+            folders.delete(spark, target)
+            folders.move(spark, f"{staged}/{month}/{day}", target)
+    folders.delete(spark, staged)
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """Finish replacements that were cut off after they were complete, drop the others."""
+    pending = f"{path.rstrip('/')}/{PENDING}"
+    for name in folders.children(spark, pending):
+        if folders.exists(spark, f"{pending}/{name}/{COMPLETE}"):
+            _move_in(spark, f"{pending}/{name}", path)
+        else:
+            folders.delete(spark, f"{pending}/{name}")
 
 
 def merge_bars(bars: DataFrame, path: str) -> None:
-    """Add bars to the core table; a bar already there under the same key is replaced.
+    """Add bars to the core table; of two under the same key the one landed later stays.
 
-    Loading the same bars twice therefore changes nothing. Keys must be complete
-    (``well_formed`` sees to that for landed files).
+    Loading the same bars twice therefore changes nothing, and neither does loading older ones
+    again. Keys must be complete (``well_formed`` sees to that for landed files).
     """
     with temporary_tables(bars.sparkSession, "merge") as kept_as:
-        merge_unique_bars(kept_as(unique_bars(bars), "loaded"), path)
+        merge_unique_bars(kept_as(unique_bars(with_landing(bars), keep_landing=True), "loaded"), path)
 
 
 def merge_unique_bars(bars: DataFrame, path: str) -> None:
     """As :func:`merge_bars`, for bars that are unique by key and cheap to read again.
 
-    Only loaded days are rewritten. The merged days are complete in the shared
-    folder before any stored file is touched.
+    Only loaded days are read and rewritten.
     """
     spark = bars.sparkSession
-    loaded = bars.select(BAR_COLUMNS)
-    # One row of Parquet statistics, not data.
+    settle(spark, path)
+    loaded = with_landing(bars)
+    # One row, from a scan of the loaded timestamps.
     days = loaded.agg(
         F.to_date(F.min("timestamp")).alias("first"), F.to_date(F.max("timestamp")).alias("last")
     ).first()
@@ -71,14 +127,6 @@ def merge_unique_bars(bars: DataFrame, path: str) -> None:
         return
     # At most one row per calendar day from first to last, hence the broadcast.
     loaded_days = F.broadcast(loaded.select(trade_date().alias("trade_date")).distinct())
-    stored = (
-        between_days(read_core(spark, path), days.first, days.last)
-        .join(loaded_days, "trade_date", "left_semi")
-        .select(BAR_COLUMNS)
-    )
-    if stored.isEmpty():
-        replace_days(loaded, path)
-        return
-    others = stored.join(loaded.select(BAR_KEY), BAR_KEY, "left_anti")
-    with temporary_tables(spark, "merge") as kept_as:
-        replace_days(kept_as(others.unionByName(loaded), "merged"), path)
+    stored = read_core(spark, path, days.first, days.last).join(loaded_days, "trade_date", "left_semi").select(STORED)
+    merged = loaded if stored.isEmpty() else unique_bars(stored.unionByName(loaded), keep_landing=True)
+    replace_days(merged, path)

@@ -4,9 +4,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.schema import BAR_COLUMNS, DAILY, PRICE
+from candlewick.schema import BAR_COLUMNS, DAILY, ERROR_MARKER, PRICE, THROTTLE_MARKER
+from candlewick.sources.raw_layer import MALFORMED_LINE, SOURCE_FILE, malformed, well_formed
 
-ERROR, THROTTLED, OK = "error", "throttled", "ok"
+ERROR, THROTTLED, OK, MALFORMED = "error", "throttled", "ok", "malformed"
 
 # The interval names a JSON payload may carry, and the timeframe each stands for.
 SERIES_NAMES = {
@@ -57,6 +58,25 @@ def screen_files(spark: SparkSession, path: str, error_marker: str, throttle_mar
     )
 
 
+def screened(landed: DataFrame, error_marker: str = ERROR_MARKER, throttle_marker: str = THROTTLE_MARKER) -> tuple[DataFrame, DataFrame]:
+    """Landed lines as (bars, refused lines), from a stored table of them.
+
+    A file with a marker among the lines that are no bars is refused whole, as its
+    ``payload_class`` says; of other files only such lines are refused, as ``malformed``.
+    Files are judged by those lines alone, which are few.
+    """
+    marked = screen_texts(malformed(landed), MALFORMED_LINE, error_marker, throttle_marker)
+    files = (
+        marked.where(F.col("payload_class") != OK)
+        .groupBy(SOURCE_FILE)
+        .agg(F.min("payload_class").alias("payload_class"))  # an error comes before a throttle
+    )
+    bars = well_formed(landed).join(files, SOURCE_FILE, "left_anti")
+    lines = malformed(landed).join(files, SOURCE_FILE, "left").withColumn("payload_class", F.coalesce("payload_class", F.lit(MALFORMED)))
+    lost = well_formed(landed).join(files, SOURCE_FILE)
+    return bars, lines.unionByName(lost, allowMissingColumns=True)
+
+
 def _payload_type() -> T.StructType:
     bar = T.StructType([T.StructField(name, T.StringType()) for name in JSON_FIELDS.values()])
     series = T.MapType(T.StringType(), bar)
@@ -89,3 +109,19 @@ def bars_from_json(payloads: DataFrame, text: str) -> DataFrame:
         for name, field in JSON_FIELDS.items()
     }
     return rows.withColumns({"timestamp": F.col("stamp").try_cast("timestamp_ntz"), **values}).select(BAR_COLUMNS)
+
+
+def unreadable_payloads(payloads: DataFrame, text: str) -> DataFrame:
+    """The payloads that :func:`bars_from_json` makes no bar of, with all their columns and the ``reason``.
+
+    The reason is ``not json``, ``no known series`` or ``no bars``.
+    """
+    parsed = F.from_json(text, _payload_type())
+    series = [parsed[f"Time Series ({name})"] for name in SERIES_NAMES]
+    known = F.coalesce(*series)
+    reason = (
+        F.when(F.try_parse_json(text).isNull(), "not json")
+        .when(known.isNull(), "no known series")
+        .when(F.size(known) == 0, "no bars")
+    )
+    return payloads.withColumn("reason", reason).where(F.col("reason").isNotNull())

@@ -12,6 +12,8 @@ from candlewick.schema import RAW_BAR, TIMEFRAMES, VALUE_COLUMNS
 
 MALFORMED_LINE = "malformed_line"
 LANDED_AT = "landed_at"
+SOURCE_FILE = "source_file"
+HEADER = ",".join(RAW_BAR.fieldNames())
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -33,11 +35,12 @@ def scan_raw_layer(
     folders and the ``key=value`` folders of :func:`write_raw_layer` are read.
     A date without files gives an empty frame. With a ``schema``, lines that do
     not fit it are kept, with their text in ``malformed_line``; see
-    :func:`well_formed` and :func:`malformed`.
+    :func:`well_formed` and :func:`malformed`. The header is told by its text, so a first
+    line that is something else is not taken for one.
     """
     names = ",".join(timeframes)
     pattern = f"{root.rstrip('/')}/{{,load_date=}}{load_date}/*/{{,timeseries_name=}}{{{names}}}"
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", schema is None)
     if schema is not None:
         file_schema = T.StructType([*schema.fields, T.StructField(MALFORMED_LINE, T.StringType())])
         reader = reader.schema(file_schema).option("columnNameOfCorruptRecord", MALFORMED_LINE)
@@ -47,7 +50,7 @@ def scan_raw_layer(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return _no_files(spark, schema)
-    return with_path_columns(files)
+    return with_path_columns(files if schema is None else without_headers(files))
 
 
 def _no_files(spark: SparkSession, schema: T.StructType | None) -> DataFrame:
@@ -55,17 +58,18 @@ def _no_files(spark: SparkSession, schema: T.StructType | None) -> DataFrame:
     if schema is not None:
         fields.append(T.StructField(MALFORMED_LINE, T.StringType()))
     fields.append(T.StructField(LANDED_AT, T.TimestampType()))
-    fields += [T.StructField(name, T.StringType()) for name in ("symbol_name", "timeseries_name")]
+    fields += [T.StructField(name, T.StringType()) for name in (SOURCE_FILE, "symbol_name", "timeseries_name")]
     return spark.createDataFrame([], T.StructType(fields))
 
 
 def with_path_columns(files: DataFrame) -> DataFrame:
-    """Add ``symbol_name`` and ``timeseries_name`` from the folders of the file, and
-    ``landed_at``, the time the file was written."""
+    """Add ``symbol_name`` and ``timeseries_name`` from the folders of the file,
+    ``landed_at``, the time the file was written, and ``source_file``, its path."""
     path = F.col("_metadata.file_path")
     return files.withColumns(
         {
             LANDED_AT: F.col("_metadata.file_modification_time"),
+            SOURCE_FILE: path,
             "symbol_name": _folder_value(path, 3, "symbol_name="),
             "timeseries_name": _folder_value(path, 2, "timeseries_name="),
         }
@@ -80,6 +84,7 @@ def _folder_value(path: Column, place: int, prefix: str) -> Column:
     folder = F.substring_index(F.substring_index(path, "/", -place), "/", 1)
     value = F.replace(folder, F.lit(prefix), F.lit(""))
     # A path is a URI; a key=value folder is escaped once more within it.
+    value = F.nullif(value, F.lit("__HIVE_DEFAULT_PARTITION__"))
     once = _url_decoded(folder)
     decoded = F.when(folder.startswith(prefix), _url_decoded(_url_decoded(value))).otherwise(once)
     return F.when(F.contains(folder, F.lit("%")), decoded).otherwise(value)
@@ -99,6 +104,12 @@ def _fits_schema() -> Column:
     return complete & F.col(MALFORMED_LINE).isNull()
 
 
+def without_headers(lines: DataFrame) -> DataFrame:
+    """Lines of headed files, without the headers."""
+    is_header = F.lower(F.regexp_replace(MALFORMED_LINE, r"[\s\"\ufeff]", "")) == HEADER
+    return lines.where(_fits_schema() | ~F.coalesce(is_header, F.lit(False)))
+
+
 def well_formed(raw: DataFrame) -> DataFrame:
     """The lines that hold a complete bar."""
     return raw.where(_fits_schema()).drop(MALFORMED_LINE)

@@ -1,44 +1,93 @@
-"""The delta load as a file stream: each landed file is taken once, whenever it arrives."""
+"""The delta load as a file stream: each landed file is taken once, whenever it arrives.
+
+A file is known by its name. One that is landed again under a name that was taken is refused
+with an error before anything is loaded: corrections need a new name, as the raw layer's writer gives
+them, or a delta load.
+"""
 
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from candlewick.functions.calendar import on_day
+from candlewick.operators.bars import followed_symbols
+from candlewick.plans.loads import quarantine_of
 from candlewick.schema import RAW_BAR, TIMEFRAMES
+from candlewick.sources import folders
 from candlewick.sources.core_table import merge_bars
-from candlewick.sources.raw_layer import MALFORMED_LINE, malformed, well_formed, with_path_columns
+from candlewick.sources.payloads import screened
+from candlewick.sources.raw_layer import LANDED_AT, MALFORMED_LINE, SOURCE_FILE, with_path_columns, without_headers
 from candlewick.workspace import temporary_tables
 
+FILES_IN_BATCH = 1000
+
+
+def landed_stream(spark: SparkSession, raw: str, timeframes: Iterable[str] = TIMEFRAMES, files_in_batch: int = FILES_IN_BATCH) -> DataFrame:
+    """Lines of all load dates as they land, with the columns of ``scan_raw_layer`` and ``load_date``.
 
-def landed_stream(spark: SparkSession, raw: str, timeframes: Iterable[str] = TIMEFRAMES) -> DataFrame:
-    """Bars of all load dates as they land, with the columns of ``scan_raw_layer``."""
+    There is no age limit: a late file counts like any other.
+    """
     schema = T.StructType([*RAW_BAR.fields, T.StructField(MALFORMED_LINE, T.StringType())])
     files = (
         spark.readStream.schema(schema)
-        .option("header", True)
         .option("columnNameOfCorruptRecord", MALFORMED_LINE)
+        .option("maxFileAge", "100000d")
+        .option("maxFilesPerTrigger", files_in_batch)
         .csv(f"{raw.rstrip('/')}/*/*/{{,timeseries_name=}}{{{','.join(timeframes)}}}")
     )
-    return with_path_columns(files)
+    folder = F.substring_index(F.substring_index(SOURCE_FILE, "/", -4), "/", 1)
+    return with_path_columns(without_headers(files)).withColumn("load_date", F.replace(folder, F.lit("load_date="), F.lit("")).try_cast("date"))
+
+
+def _refuse_taken_names(spark: SparkSession, raw: str, taken: str) -> None:
+    if not folders.exists(spark, taken):
+        return
+    known = spark.read.parquet(taken)
+    now = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(raw)
+        .select(F.col("path").alias("now_path"), F.col("modificationTime").alias("now"))
+    )
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    again = known.join(now, (plain(F.url_decode(F.replace(SOURCE_FILE, F.lit("+"), F.lit("%2B")))) == plain("now_path")) & (F.col("now") > F.col(LANDED_AT)))
+    first = again.select(SOURCE_FILE).first()
+    if first:
+        raise ValueError(f"{first[0]} was landed again under the same name")
 
 
 def start_delta_stream(
-    spark: SparkSession, raw: str, core: str, checkpoint: str, quarantine: str | None = None
+    spark: SparkSession,
+    raw: str,
+    core: str,
+    checkpoint: str,
+    quarantine: str | None = None,
+    day: date | str | None = None,
+    symbols: DataFrame | None = None,
+    files_in_batch: int = FILES_IN_BATCH,
 ) -> StreamingQuery:
-    """Load everything new and stop. The merge is by key, so a batch repeated after a
-    failure changes nothing."""
+    """Load everything new and stop; with ``day`` or ``symbols`` only their bars are kept.
+
+    The merge is by key, so a batch repeated after a failure changes nothing.
+    """
+    taken = f"{checkpoint.rstrip('/')}_files"
+    refused_to = quarantine or quarantine_of(core)
+    _refuse_taken_names(spark, raw, taken)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         with temporary_tables(spark, "stream") as kept_as:
             landed = kept_as(batch, "landed")
-            merge_bars(well_formed(landed), core)
-            if quarantine is not None:
-                malformed(landed).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+            landed.select(SOURCE_FILE, LANDED_AT).distinct().write.mode("overwrite").parquet(f"{taken}/batch={batch_id}")
+            bars, refused = screened(landed)
+            refused.write.mode("overwrite").parquet(f"{refused_to}/batch={batch_id}")
+            if symbols is not None:
+                bars = followed_symbols(bars, symbols)
+            merge_bars(bars if day is None else on_day(bars, day), core)
 
     return (
-        landed_stream(spark, raw)
+        landed_stream(spark, raw, files_in_batch=files_in_batch)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -1,12 +1,14 @@
 """Intermediate tables, written where every executor can read them back.
 
-The cluster names its shared folder in ``spark.checkpoint.dir``. Only where
-that is unset (a plain local session) is a temporary folder used instead.
+The cluster names its shared folder in ``spark.checkpoint.dir`` or by
+``SparkContext.setCheckpointDir``. Only a plain local session may do without: it uses a
+temporary folder. Elsewhere executors would write to their own disks, so an unset folder is an error.
 """
 
 import atexit
 import contextlib
 import functools
+import re
 import shutil
 import tempfile
 import uuid
@@ -14,6 +16,17 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+from candlewick.sources import folders
+
+
+def shared_folder(spark: SparkSession) -> str:
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_folder()
+
 
 @functools.cache
 def _local_folder() -> str:
@@ -27,8 +40,7 @@ _made: set[str] = set()
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path (not created yet) below the shared folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
-    folder = f"{root.rstrip('/')}/candlewick/{label}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark).rstrip('/')}/candlewick/{label}-{uuid.uuid4().hex}"
     _made.add(folder)
     return folder
 
@@ -40,8 +52,7 @@ def clean_up(spark: SparkSession) -> None:
 
 
 def _remove(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    folders.delete(spark, folder)
     _made.discard(folder)
 
 
