@@ -14,11 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.texts import column, list_array, map_pieces, octets, strings
+from candlewick.llm.texts import Numbers, column, list_array, map_pieces, octets, strings
 
 # The pattern that byte-level BPE vocabularies of this format split by.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -151,14 +152,6 @@ def gather(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
 
 
-class _Numbers(dict):
-    """Numbers strings in the order in which they first come."""
-
-    def __missing__(self, key: str) -> int:
-        self[key] = number = len(self)
-        return number
-
-
 # Every white-space character but the space.
 _BLANKS = "\t\n\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -186,7 +179,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers = _Numbers()
+        self.numbers = Numbers()
         self.ids = np.empty(0, np.int32)
         self.starts = np.empty(0, np.int64)
         self.counts = np.empty(0, np.int64)
@@ -277,7 +270,7 @@ def decode(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", ids_co
             for rows in _rows_of(batch, BLOCK_BYTES // 4):
                 lists = column(rows, "ids")
                 ids = lists.flatten().to_numpy(zero_copy_only=False)
-                counts = np.array([len(x) if x is not None else 0 for x in lists], np.int64) if lists.null_count else np.diff(lists.offsets.to_numpy())
+                counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
                 known = (ids >= 0) & (ids < len(sizes))
                 ids, upto = ids[known], np.r_[0, np.cumsum(known)]
                 ends = np.cumsum(counts)

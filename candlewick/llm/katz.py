@@ -14,7 +14,7 @@ partitioned by kind, and the totals turn them into scores. A very frequent histo
 buckets by the following word; such a history, like one without a discounted pair, keeps one occurrence
 more for unseen words.
 
-Words are known by their 64-bit hashes. The most frequent ones (``FREQUENT`` at most)
+Words are known by their 64-bit hashes (XXH64). The most frequent ones (``FREQUENT`` at most)
 are broadcast with their counts; what concerns others is joined.
 """
 
@@ -32,19 +32,20 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.texts import column, list_array, octets, pieces
+from candlewick.llm.texts import Numbers, column, list_array, octets, pieces
 from candlewick.workspace import new_folder, written
 
 DISCOUNTED = 5
 """Counts up to this one are discounted."""
-FREQUENT = 1 << 20
+FREQUENT = 1 << 19
 PAIRS_IN_BUCKET = 3_000_000
 PAIRS_OF_HISTORY = 1_000_000
 """Occurrences of a history from which on it is dealt over several buckets."""
 PIECE = 16 << 20
 
+SMALL = 1 << 32
 EDGE = int(np.uint64(xxhash.xxh64_intdigest(b"")).view(np.int64))
-"""The end of a text as a word, and its start as a history; words are never empty."""
+"""The end of a text as a word, and its start as a history (code 0); words are never empty."""
 
 
 def words(raw: bytes) -> list[bytes]:
@@ -89,12 +90,18 @@ class Unigrams:
         factor = np.r_[1.0, self.factors, 1.0][np.minimum(counts, DISCOUNTED + 1)]
         return np.log10(np.where(counts > 0, factor * counts / self.whole, self.unknown))
 
+    def codes(self, hashes: np.ndarray) -> np.ndarray:
+        """Small numbers for the edge and the frequent words, which pack well; other words keep their hashes."""
+        out = hashes.copy()
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            out = np.where(self.hashes[at] == hashes, at + 1, out)
+        return np.where(hashes == EDGE, 0, out)
+
     def count_of(self, codes: np.ndarray) -> np.ndarray:
-        """Counts of words; -1 where a word is not among the frequent ones."""
-        if not len(self.hashes):
-            return np.full(len(codes), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, codes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == codes, self.counts[at], -1)
+        """Counts of words by code; -1 where a word is not among the frequent ones."""
+        small = (codes >= 0) & (codes < SMALL)
+        return np.where(small, np.r_[self.texts, self.counts][np.where(small, codes, 0)], -1)
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -117,7 +124,9 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 def _hashed(strings) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, strings), np.uint64).view(np.int64)
+    """Hashes of words; none is among the small numbers that serve as codes."""
+    h = np.fromiter(map(xxhash.xxh64_intdigest, strings), np.uint64).view(np.int64)
+    return np.where((h >= 0) & (h < SMALL), ~h, h)
 
 
 def _tallied(tally: Counter) -> pa.RecordBatch:
@@ -214,14 +223,10 @@ def _pairs_of(piece: pa.RecordBatch, model: Unigrams, buckets: int, batch: int,
     texts = octets(piece)
     train = column(piece, "train").to_numpy(zero_copy_only=False).astype(bool)
     ids = column(piece, "doc_id")
-    numbers: dict[bytes, int] = {b"": 0}
-    spots = []
-    for text in texts:
-        own = words(text)
-        for word in set(own) - numbers.keys():
-            numbers[word] = len(numbers)
-        spots.append(np.fromiter(map(numbers.__getitem__, own), np.int64, len(own)))
-    codes = _hashed(numbers)
+    numbers = Numbers()
+    numbers[b""] = 0
+    spots = [np.fromiter(map(numbers.__getitem__, own), np.int64, len(own)) for own in map(words, texts)]
+    codes = model.codes(_hashed(numbers))
     counts = model.count_of(codes)
     lengths = np.array([len(s) for s in spots])
     owner = np.repeat(np.arange(len(texts)), lengths)
@@ -240,7 +245,6 @@ def _pairs_of(piece: pa.RecordBatch, model: Unigrams, buckets: int, batch: int,
     history[1:][inner[:-1]] = flat
     text = np.repeat(np.arange(len(texts)), lengths + 1)
     shares = np.maximum(1, -(-np.maximum(counts, 0) // model.history_pairs))
-    shares[0] = max(1, -(-model.texts // model.history_pairs))
     mix = _mixed(codes)
     salt = mix[following] % shares[history].astype(np.uint64)
     bucket = ((mix[history] + salt * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(17)) % np.uint64(buckets)
@@ -310,7 +314,7 @@ def _looked_up(h: np.ndarray, w: np.ndarray, signed: np.ndarray, batch: np.ndarr
     low = np.stack([np.bincount(pair_history, count == r, n_histories) for r in range(1, DISCOUNTED + 1)], axis=1).astype(np.int64)
     high = np.bincount(pair_history, np.where(count > DISCOUNTED, count, 0), n_histories).astype(np.int64)
     here = np.bincount(history_of, train, n_histories).astype(np.int64)
-    told = np.where(first_h == EDGE, model.texts, model.count_of(first_h))
+    told = model.count_of(first_h)
     occurs = np.where(told >= 0, told, here)
     dealt = (told > model.history_pairs)
     whole = occurs + (dealt | ((low.sum(axis=1) == 0) & (occurs > 0)))
@@ -328,7 +332,7 @@ def _looked_up(h: np.ndarray, w: np.ndarray, signed: np.ndarray, batch: np.ndarr
         _sums_by_text(place, {f"c{r}": c == r for r in range(1, DISCOUNTED + 1)} | {"x": x}, h, batches, "seen"),
         _told("types", 1, c1=[[int((count == r).sum()) for r in range(1, DISCOUNTED + 2)]]),
     ]
-    rare = (told[history_of] < 0) & (first_h[history_of] != EDGE)
+    rare = told[history_of] < 0
     if rare.any():
         own = here[history_of[rare]]
         out.append(_sums_by_text(place[rare], {"known": own > 0, "x": np.log10(own + 1.0)}, h, batches, "base"))

@@ -66,6 +66,14 @@ def words_of(text: bytes) -> list[bytes]:
     return text.split()
 
 
+class Numbers(dict):
+    """Numbers keys in the order in which they are first looked up."""
+
+    def __missing__(self, key) -> int:
+        self[key] = number = len(self)
+        return number
+
+
 def id_fold(modulus: int, id_col: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % modulus
