@@ -4,7 +4,8 @@ A file's units are its lines, its blocks (between blank lines) and its whole tex
 compared with every template as a sparse vector of term counts, weighted by how rare the
 term is among the templates; a term that no template has counts as the rarest. A unit can
 reach the threshold only if it holds one of a few telling terms of a template (the other
-terms together weigh too little), so units without any are left out unread. A file without a
+terms together weigh too little), and all its terms must make up enough of that template. Other units
+are left out before their words are counted. A file without a
 licence of its own takes that of its nearest directory upwards that has a licence file.
 
 All of it is DataFrame functions: no Python runs on the executors.
@@ -82,7 +83,7 @@ def _tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
 
 
 def units(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``key``, ``whole``, ``unit``: the lines, blocks and whole texts that hold a telling term."""
+    """``key``, ``place``, ``whole``, ``unit``: the lines, blocks and whole texts that may reach the threshold."""
     pattern = f"(?i)(?<![a-z0-9])({'|'.join(telling_terms(threshold))})(?![a-z0-9])"
     has = lambda c: F.rlike(c, F.lit(pattern))
     some = files.where(has(F.col("text")))
@@ -91,14 +92,29 @@ def units(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.transform(F.filter(parts, has), lambda u: F.struct(F.lit(False).alias("whole"), u.alias("unit"))),
         F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("unit"))),
     )
-    return some.select("key", F.posexplode(marked).alias("place", "u")).select("key", "place", "u.whole", "u.unit")
+    each = some.select("key", F.posexplode(marked).alias("place", "u")).select("key", "place", "u.whole", "u.unit")
+    return each.where(_reach(F.col("unit")) >= threshold**2 - 1e-9)
+
+
+def _words(text: Column) -> Column:
+    return F.split(F.lower(text), "[^a-z0-9]+")
+
+
+def _reach(unit: Column) -> Column:
+    """The largest share of a template's squared length that lies on terms of the unit; no cosine is above its root."""
+    idf, _, vectors = weights()
+    squares = {t: [v.get(t, 0.0) ** 2 for v in vectors.values()] for t in sorted(idf)}
+    by_term = F.create_map(*[x for t, row in squares.items() for x in (F.lit(t), F.array(*map(F.lit, row)))])
+    present = F.array_intersect(_words(unit), F.array(*map(F.lit, squares)))
+    none = F.array(*[F.lit(0.0)] * len(vectors))
+    return F.array_max(F.aggregate(present, none, lambda sums, t: F.zip_with(sums, by_term[t], lambda a, b: a + b)))
 
 
 def cosines(found: DataFrame) -> DataFrame:
     """``key``, ``place``, ``whole``, ``licence``, ``cosine`` of every unit with every template that shares a term."""
     by_term, by_template = _tables(found.sparkSession)
     unknown = weights()[1]
-    each = found.select("key", "place", "whole", F.explode(F.split(F.lower("unit"), "[^a-z0-9]+")).alias("term")).where("term != ''")
+    each = found.select("key", "place", "whole", F.explode(_words(F.col("unit"))).alias("term")).where("term != ''")
     counted = each.groupBy("key", "place", "whole", "term").agg(F.count("*").alias("n"))
     weighted = counted.join(by_term, "term", "left").select("key", "place", "whole", "term", (F.col("n") * F.coalesce("idf", F.lit(unknown))).alias("x"))
     norms = weighted.groupBy("key", "place").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
