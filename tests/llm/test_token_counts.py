@@ -1,0 +1,67 @@
+import os
+import random
+
+import numpy as np
+import pytest
+
+from candlewick.llm import bpe, queries, token_counts
+from candlewick.llm.queries import QUERIES
+
+SEPARATOR = 9
+
+
+def _lengths(ids):
+    """Tokens of each document, by walking over the ids; what follows the last separator is a document."""
+    out, n = [], 0
+    for i in ids:
+        if i == SEPARATOR:
+            out.append(n)
+            n = 0
+        else:
+            n += 1
+    return out + [n] * (n > 0)
+
+
+@pytest.mark.parametrize("width", [2, 4])
+@pytest.mark.parametrize(("block", "stretch"), [(8, 2), (16, 3), (4096, 4096)])
+def test_scan_against_a_walk(spark, tmp_path, width, block, stretch):
+    rng = random.Random(block + width)
+    files = {f"f{k}.bin": [rng.choice([1, 2, 3, SEPARATOR] if k % 2 else [1, 2, 3, 4, 5, 6, 7, 8, 8, 8, 8, 8, SEPARATOR]) for _ in range(rng.randint(1, 120))] for k in range(8)}
+    files |= {"empty.bin": [], "one.bin": [SEPARATOR], "open.bin": [1] * 70, "none.bin": [SEPARATOR] * 40, "late.bin": [1] * 60 + [SEPARATOR, 1]}
+    for name, ids in files.items():
+        (tmp_path / name).write_bytes(np.array(ids, f"<u{width}").tobytes())
+    found = token_counts.count_tokens(spark, str(tmp_path), SEPARATOR, width=width, block_bytes=block, stretch=stretch).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: (r.file, r.document)):
+        got.setdefault(r.file, []).append((r.document, r.n_tokens))
+    assert got == {name: list(enumerate(_lengths(ids))) for name, ids in files.items() if ids}
+
+
+def test_blocks_hold_whole_ids(spark, tmp_path):
+    with pytest.raises(ValueError):
+        token_counts.count_tokens(spark, str(tmp_path), SEPARATOR, block_bytes=3)
+
+
+def test_documents(documents):
+    known = queries.vocabulary()
+    rows = [(1, None), (2, ""), (3, "some words"), (3, "some words"), (None, "x" * 9000), (4, "a <|endoftext|> b")]
+    found = token_counts.counts_by_document(documents(rows), known, known.special["<|endoftext|>"]).collect()
+    encoder = bpe.Encoder(known, literal=True)
+    assert sorted(map(tuple, found), key=repr) == sorted([(i, len(encoder([t or ""])[0])) for i, t in rows], key=repr)
+    assert token_counts.counts_by_document(documents([]), known, 50256).count() == 0
+
+
+def test_only_listed_files_count(documents, spark, tmp_path):
+    known = queries.vocabulary()
+    folder = str(tmp_path / "tokens")
+    listed = token_counts.write_token_files(documents([(1, "a b c")], 1), known, 50256, folder).persist()
+    assert listed.count() == 1
+    (tmp_path / "tokens" / "tokens-left-over.bin").write_bytes(b"\1\0" * 50)
+    assert len(os.listdir(folder)) == 2
+    assert [r.n_tokens for r in token_counts.count_tokens(spark, folder, 50256, listed).collect()] == [3]
+    listed.unpersist()
+
+
+def test_query_agrees_with_encoding(spark, sf_dir):
+    encoded = {r.doc_id: r.n_tokens for r in QUERIES["op2_bpe_round_trip"](spark, sf_dir).collect()}
+    assert {r.doc_id: r.n_tokens for r in QUERIES["op10_token_counts"](spark, sf_dir).collect()} == encoded
