@@ -19,13 +19,11 @@ its own, so the most frequent passage leaves a task once.
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from candlewick.llm.texts import column, fresh_name, octets, pieces
 from candlewick.workspace import written
@@ -105,12 +103,16 @@ def _chunks(lengths: np.ndarray, length: int) -> Iterator[list[tuple[int, int, i
 
 
 def _firsts(keys: list[np.ndarray], key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers of the first row by (key, at) of every group of equal ``keys``, and of the rest."""
+    """Row numbers of the first row by (key, at) of every group of equal ``keys``, and of the rest.
+
+    Rows at the place of the first come from a repeated document; they are neither.
+    """
     order = np.lexsort((at, key, *reversed(keys)))
     new = np.ones(len(order), bool)
     if len(order):
         new[1:] = np.any([k[order[1:]] != k[order[:-1]] for k in keys], axis=0)
-    return order[new], order[~new]
+    first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    return order[new], order[(key[order] != key[first]) | (at[order] != at[first])]
 
 
 def _key(docs: DataFrame, id_col: str, text_col: str) -> Column:
@@ -124,6 +126,7 @@ def _tag(text: bytes) -> int:
     return xxhash.xxh3_64_intdigest(text) & ((1 << TAG_BITS) - 1)
 
 
+_RESULT = {"n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "spans": "array<struct<start:bigint,stop:bigint>>", "kept": "binary"}
 _ROW = "h bigint, g bigint, key bigint, at bigint, n bigint"
 _NAMES = ["h", "g", "key", "at", "n"]
 
@@ -200,7 +203,7 @@ def compared(rows: DataFrame, length: int, last: bool) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = None  # the row before this batch
+        before = None  # the digits of the row before this batch, and where its group begins
         waiting = None  # the first row of a gram of which no other second digit has come
         for batch in batches:
             done = column(batch, "g").is_null()
@@ -211,8 +214,11 @@ def compared(rows: DataFrame, length: int, last: bool) -> DataFrame:
             h, g, key, at, n = (column(batch, c).to_numpy() for c in _NAMES)
             new_h = np.r_[before is None or h[0] != before[0], h[1:] != h[:-1]]
             new = new_h | np.r_[before is None or g[0] != before[1], g[1:] != g[:-1]]
-            before = h[-1], g[-1]
-            yield _settled(key[~new], at[~new], n[~new] + length - 1)
+            opened = np.maximum.accumulate(np.where(new, np.arange(len(h)), -1))  # the first row of each group; -1: in a batch before
+            first_key, first_at = (np.where(opened >= 0, x[opened], 0 if before is None else old) for x, old in ((key, before and before[2]), (at, before and before[3])))
+            before = h[-1], g[-1], first_key[-1], first_at[-1]
+            later = (key != first_key) | (at != first_at)  # not the same place of a repeated document
+            yield _settled(key[later], at[later], n[later] + length - 1)
             if last:
                 continue
             first = np.flatnonzero(new)
@@ -232,16 +238,15 @@ def compared(rows: DataFrame, length: int, last: bool) -> DataFrame:
     return rows.repartition("h").sortWithinPartitions("h", "g", "key", "at").mapInArrow(run, _ROW)
 
 
-def windows_of(docs: DataFrame, mixed: DataFrame, length: int) -> DataFrame:
-    """Last pass: every window of the runs in ``mixed``, with a hash of all its bytes as both digits."""
-    wanted = mixed.groupBy("key").agg(F.collect_list(F.struct("at", "n")).alias("runs"))
+def windows_of(wanted: DataFrame, text: str, key: str, runs: str, length: int) -> DataFrame:
+    """Last pass: every window of the ``runs`` listed with a document, with a hash of all its bytes as both digits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch):
-                yield from _windows_of_piece(octets(piece), column(piece, "key").to_numpy(), column(piece, "runs"), length)
+            for piece in pieces(batch, text):
+                yield from _windows_of_piece(octets(piece, text), column(piece, key).to_numpy(), column(piece, runs), length)
 
-    return docs.join(wanted, "key").mapInArrow(run, _ROW)
+    return wanted.mapInArrow(run, _ROW)
 
 
 def _windows_of_piece(texts: list[bytes], keys: np.ndarray, lists: pa.ListArray, length: int) -> Iterator[pa.RecordBatch]:
@@ -268,17 +273,7 @@ def _windows_of_piece(texts: list[bytes], keys: np.ndarray, lists: pa.ListArray,
     yield _settled(key[rest], at[rest], np.full(len(rest), length))
 
 
-def repeated_stretches(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``key``, ``at``, ``n``: bytes to remove, of keyed documents; stretches may overlap."""
-    first = written(compared(runs_of(docs, length), length, last=False), "runs")
-    windows = compared(windows_of(docs, first.where("g is not null"), length), length, last=True)
-    return first.where("g is null").select("key", "at", "n").union(windows.select("key", "at", "n"))
-
-
-_RESULT = "n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start:bigint,stop:bigint>>, kept binary"
-
-
-def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, keep: list[str] | None = None) -> DataFrame:
+def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, keep: list[str] | None = None, as_text: bool = False) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``spans`` (removed, maximal, in bytes), ``kept`` (the other bytes), and the columns in ``keep``.
 
     A byte goes if a string of ``length`` bytes that covers it also starts earlier: in a
@@ -286,14 +281,23 @@ def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     none crosses documents. One row per input row; a null text counts as empty. Rows
     that share id and text count as one document, so neither is a repeat of the other, and both get
     the same result; rows that share an id only are ordered by a hash of their texts. A null id
-    comes after all others.
+    comes after all others. With ``as_text`` the kept bytes come as text, without what a cut has
+    left of a character.
+
+    The documents are dealt out by id once: the last pass and the cutting both use that exchange, so
+    both join the same columns.
     """
-    names = [k for k in keep or [] if k not in ("doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept")]
-    found = written(repeated_stretches(df.select(_key(df, id_col, text_col), df[text_col].cast("string").alias("text")), length), "stretches")
-    text, key, cuts = (fresh_name(df, x) for x in ("_text", "_key", "_cuts"))
-    by_document = found.groupBy(F.col("key").alias(key)).agg(F.collect_list(F.struct("at", "n")).alias(cuts))
+    names = [k for k in keep or [] if k not in ("doc_id", *_RESULT)]
+    text, key, runs, cuts = (fresh_name(df, x) for x in ("_text", "_key", "runs", "_cuts"))
+    first = written(compared(runs_of(df.select(_key(df, id_col, text_col), df[text_col].cast("string").alias("text")), length), length, last=False), "runs")
     whole = df.select(df[id_col].cast("bigint").alias("doc_id"), df[text_col].cast("string").alias(text), _key(df, id_col, text_col).alias(key), *[df[k] for k in names])
-    joined = whole.join(by_document, key, "left").drop(key)
+    mixed = first.where("g is not null").groupBy(F.col("key").alias(key)).agg(F.collect_list(F.struct("at", "n")).alias(runs))
+    windows = compared(windows_of(whole.join(mixed, key), text, key, runs, length), length, last=True)
+    stretches = first.where("g is null").select("key", "at", "n").union(windows.select("key", "at", "n"))
+    by_document = stretches.groupBy(F.col("key").alias(key)).agg(F.collect_list(F.struct("at", "n")).alias(cuts))
+    joined = whole.join(by_document, key, "left")
+    kind = pa.string() if as_text else pa.binary()
+    shown = (lambda b: b.decode("utf-8", "ignore")) if as_text else (lambda b: b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,12 +306,13 @@ def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 spans = pa.array([[{"start": a, "stop": b} for a, b in r[3]] for r in results], pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))
                 numbers = [pa.array([r[j] for r in results], pa.int64()) for j in range(3)]
                 yield pa.RecordBatch.from_arrays(
-                    [column(piece, "doc_id"), *numbers, spans, pa.array([r[4] for r in results], pa.binary()), *[column(piece, k) for k in names]],
-                    ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept", *names],
+                    [column(piece, "doc_id"), *numbers, spans, pa.array([shown(r[4]) for r in results], kind), *[column(piece, k) for k in names]],
+                    ["doc_id", *_RESULT, *names],
                 )
 
     fields = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in whole.schema if f.name in names)
-    return joined.mapInArrow(run, f"doc_id bigint, {_RESULT}{fields}")
+    result = ", ".join(f"{c} {kind}" for c, kind in (_RESULT | {"kept": "string" if as_text else "binary"}).items())
+    return joined.mapInArrow(run, f"doc_id bigint, {result}{fields}")
 
 
 def _lists(lists: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
@@ -335,11 +340,3 @@ def _cut(text: bytes, cuts: tuple[np.ndarray, np.ndarray] | None, length: int) -
     spans = list(zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True))
     return len(text), int(gone.sum()), len(spans), spans, np.frombuffer(text, np.uint8)[~gone].tobytes()
 
-
-def readable(kept: str) -> Column:
-    """Kept bytes as text; what a cut has left of a character goes."""
-
-    def text(values: pd.Series) -> pd.Series:
-        return values.map(lambda b: bytes(b).decode("utf-8", "ignore"), na_action="ignore")
-
-    return F.pandas_udf(text, StringType())(kept)
