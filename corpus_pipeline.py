@@ -35,13 +35,14 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     ``n_chars`` follows; a null text becomes empty.
     """
     ship_package(spark)
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    left = suffix_dedup.deduplicated(docs, keep=others)
-    text = F.when(F.col("n_removed") > 0, suffix_dedup.readable("kept")).otherwise(F.col("kept").cast("string"))
-    edited = left.select("*", text.alias("text"))
-    if "n_chars" in others:
-        edited = edited.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return edited.select(docs.columns)
+    other = {c: f"document_{k}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    left = suffix_dedup.deduplicated(docs.withColumnsRenamed(other), keep=list(other.values()), as_text=True)
+    edited = F.col("n_removed") > 0
+    result = left.select(*[F.col("kept").alias(c) if c == "text" else F.col(other.get(c, c)).alias(c) for c in docs.columns], edited.alias("document_edited"))
+    if "n_chars" in other:
+        kind = docs.schema["n_chars"].dataType
+        result = result.withColumn("n_chars", F.when(F.col("document_edited"), F.length("text")).otherwise(F.col("n_chars")).cast(kind))
+    return result.drop("document_edited")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
