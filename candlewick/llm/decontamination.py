@@ -7,9 +7,11 @@ bit-parallel edit distance. Items and documents are compared in lower case, with
 of white space as one space.
 """
 
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,13 +53,13 @@ class Pattern:
         for i, letter in enumerate(item):
             self.masks[letter] = self.masks.get(letter, 0) | 1 << i
 
-    def best(self, text: str) -> tuple[int, int]:
-        """The least distance, and where the first substring with it ends."""
+    def distances(self, text: str) -> np.ndarray:
+        """After every character: the least distance of the item to a substring that ends there."""
         full, top = (1 << self.size) - 1, 1 << (self.size - 1)
         up, down, score = full, 0, self.size
-        least, end = score, 0
-        get = self.masks.get
-        for j, letter in enumerate(text):
+        scores = array("i")
+        get, add = self.masks.get, scores.append
+        for letter in text:
             equal = get(letter, 0)
             across = (((equal & up) + up) ^ up) | equal
             vertical = equal | down
@@ -67,12 +69,17 @@ class Pattern:
                 score += 1
             elif minus & top:
                 score -= 1
-                if score < least:
-                    least, end = score, j + 1
+            add(score)
             plus, minus = plus << 1 & full, minus << 1 & full
             up = minus | (full & ~(vertical | plus))
             down = plus & vertical
-        return least, end
+        return np.array(scores, np.int32)
+
+    def best(self, text: str) -> tuple[int, int]:
+        """The least distance, and where the first substring with it ends."""
+        scores = self.distances(text)
+        end = int(scores.argmin()) if len(scores) else 0
+        return (int(scores[end]), end + 1) if len(scores) and scores[end] < self.size else (self.size, 0)
 
 
 class Block:
@@ -103,33 +110,55 @@ class Block:
         found = []
         for i, at in starts.items():
             item, k = self.items[i][1], self.edits[i]
-            exact = sorted(s for s in at if text.startswith(item, s) and s >= 0)
+            exact = sorted(s for s in at if s >= 0 and text.startswith(item, s))
             free = -1
             for s in exact:
                 if s >= free:
                     found.append({"item_id": self.items[i][0], "start": s, "stop": s + len(item), "distance": 0})
                     free = s + len(item)
-            rest = sorted(s for s in at if not any(abs(s - e) < len(item) for e in exact)) if exact else sorted(at)
-            for low, high in _joined(rest, len(item), k):
+            for low, high in _joined(_apart(sorted(at), exact, len(item)), len(item), k):
                 found += self._verified(i, text, max(0, low), min(len(text), high))
         return sorted(found, key=lambda m: (m["start"], m["stop"], m["item_id"] is not None, m["item_id"] or 0))
 
     def _verified(self, i: int, text: str, low: int, high: int) -> Iterator[dict]:
-        """The best match between two places, and those on either side of it."""
+        """The best match between two places, then those on either side of it, until none is left.
+
+        A match cuts off what follows it, which changes distances for an item's length behind it only.
+        """
         item, k = self.items[i][1], self.edits[i]
         if high - low < len(item) - k:
             return
         if i not in self.patterns:
             self.patterns[i] = Pattern(item), Pattern(item[::-1])
         ahead, back = self.patterns[i]
-        distance, length = ahead.best(text[low:high])
-        if distance > k:
-            return
-        stop = low + length
-        start = stop - back.best(text[max(low, stop - len(item) - k) : stop][::-1])[1]
-        yield from self._verified(i, text, low, start)
-        yield {"item_id": self.items[i][0], "start": start, "stop": stop, "distance": distance}
-        yield from self._verified(i, text, stop, high)
+        scores = ahead.distances(text[low:high])
+        todo = [(low, high)]
+        while todo:
+            begin, end = todo.pop()
+            if end - begin < len(item) - k:
+                continue
+            part = scores[begin - low : end - low]
+            at = int(part.argmin())
+            if part[at] > k:
+                continue
+            stop = begin + at + 1
+            start = stop - back.best(text[max(begin, stop - len(item) - k) : stop][::-1])[1]
+            yield {"item_id": self.items[i][0], "start": start, "stop": stop, "distance": int(part[at])}
+            todo += [(begin, start), (stop, end)]
+            again = min(end, stop + len(item) + k)
+            scores[stop - low : again - low] = ahead.distances(text[stop:again])
+
+
+def _apart(starts: list[int], exact: list[int], size: int) -> list[int]:
+    """Those of the sorted ``starts`` that are ``size`` or more from every exact match."""
+    if not exact:
+        return starts
+    at, known = np.array(starts), np.array(exact)
+    after = np.searchsorted(known, at)
+    near = at - known[np.maximum(after - 1, 0)] < size
+    near &= after > 0
+    near |= (known[np.minimum(after, len(known) - 1)] - at < size) & (after < len(known))
+    return at[~near].tolist()
 
 
 def _joined(starts: list[int], size: int, edits: int) -> list[tuple[int, int]]:

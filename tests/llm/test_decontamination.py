@@ -56,6 +56,25 @@ def test_everything_within_the_budget_is_found():
         assert found == wanted
 
 
+def test_passages_repeated_thousands_of_times():
+    item = d.normalised("the quick brown fox jumps over the lazy dog while seven wizards juggle glass beads")
+    near = item.replace("fox", "fux")
+    search = d.Block([(1, item), (2, "ab" * 30)], d.EDIT_RATE).search
+    found = search(" ".join([near] * 3000))
+    assert [(m["start"], m["stop"], m["distance"]) for m in found] == [(j * (len(near) + 1), j * (len(near) + 1) + len(near), 1) for j in range(3000)]
+    assert len(search(" ".join([item] * 3000))) == 3000
+    assert len(search("ab" * 30_000)) == 1000
+
+
+def test_starts_apart_from_exact_matches():
+    rng = random.Random(4)
+    for _ in range(200):
+        starts = sorted(rng.sample(range(200), rng.randint(0, 30)))
+        exact = sorted(rng.sample(starts, rng.randint(0, len(starts) // 3)))
+        size = rng.randint(1, 30)
+        assert d._apart(starts, exact, size) == [s for s in starts if all(abs(s - e) >= size for e in exact)]
+
+
 def test_matches_and_their_places():
     item = "the quick brown fox jumps over the lazy dog again and again"
     search = d.Block([(7, item)], d.EDIT_RATE).search
