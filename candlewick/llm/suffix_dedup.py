@@ -34,6 +34,8 @@ CHUNK_BITS = 18
 TAG_BITS = 24
 START_BITS = 39
 """Documents below half a terabyte."""
+SECOND_DIGIT = (1 << 32) - 1
+"""Of a window's hash, the part beside the first 64 bits: 96 bits tell windows apart, and shuffle smaller than 128."""
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -266,7 +268,7 @@ def _windows_of_piece(texts: list[bytes], keys: np.ndarray, lists: pa.ListArray,
         key.append(np.full(len(places), keys[i]))
     if not digests:
         return
-    both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+    both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2) & np.array([-1, SECOND_DIGIT])
     key, at = np.concatenate(key), np.concatenate(at)
     first, rest = _firsts([both[:, 0], both[:, 1]], key, at)
     yield _rows(both[first, 0], both[first, 1], key[first], at[first], np.ones(len(first), np.int64))
