@@ -80,3 +80,46 @@ SELECT doc_id, path, coalesce(own, n.licence) AS licence, coalesce(rows.c, n.c)
  CASE WHEN own IS NULL THEN n.directory END AS directory
 FROM rows LEFT JOIN nearest n ON n.dir = rows.dir
 """
+
+
+ORACLE_SQL["op12_maxscore"] = r"""
+WITH v AS (
+ SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
+ WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (
+ SELECT q.r, q.vec_id AS query_id, v.vec_id, list_inner_product(q.x, v.x)::BIGINT AS score
+ FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND v.vec_id IS DISTINCT FROM q.vec_id)
+SELECT query_id, rank, vec_id, score FROM (
+ SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank FROM scored) WHERE rank <= 5
+"""
+
+
+# crc32 of the id's digits: every digit goes in, then eight times a bit out; 3988292384 is the polynomial.
+ORACLE_SQL["op11_prefix_trie"] = r"""
+WITH named AS (
+ SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i
+ FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY i) AS turns FROM named GROUP BY conv_id),
+crc AS (
+ SELECT conv_id, turns, list_reduce(
+  list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS c FROM own),
+lent AS (SELECT conv_id, turns, (xor(c, 4294967295) % 4)::BIGINT AS h FROM crc),
+rebuilt AS (
+ SELECT a.conv_id, list_concat(coalesce(b.turns[1:a.h], a.turns[1:0]), a.turns[a.h + 1:]) AS turns
+ FROM lent AS a LEFT JOIN own AS b ON b.conv_id = a.conv_id - a.conv_id % 20),
+member AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt),
+node AS (
+ SELECT turns[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+  coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(turns) = depth), '') AS ends
+ FROM member GROUP BY ALL),
+children AS (SELECT path[1:depth - 1] AS path, count(*) AS n FROM node WHERE depth > 0 GROUP BY ALL),
+valued AS (
+ SELECT node.*, coalesce(n, 0) AS n_children,
+  CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(path[depth].text, '[^\x20\x09-\x0D]+')) END AS saved
+ FROM node LEFT JOIN children USING (path)),
+above AS (SELECT path, (n_children = 0)::BIGINT AS leaf, saved, unnest(range(0, depth + 1)) AS d FROM valued),
+sums AS (SELECT path[1:d] AS path, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM above GROUP BY ALL)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, s.n_leaves, s.saved_tokens, sha256(v.ends) AS ends_sha256
+FROM valued AS v JOIN sums AS s USING (path) LEFT JOIN node AS p ON v.depth > 0 AND p.path = v.path[1:v.depth - 1]
+"""

@@ -5,7 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, decontamination, katz, licenses, quality_classifier, quality_rules, simhash, suffix_dedup, token_counts, toxicity
+from candlewick.llm import (
+    bpe, decontamination, embedding_whitening, katz, licenses, maxscore, prefix_trie, quality_classifier, quality_rules, simhash, suffix_dedup, token_counts, toxicity,
+)
 from candlewick.llm.texts import id_fold, ship_package
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -106,3 +108,18 @@ def op9_suffix_dedup(spark, sf_dir):
 def op10_token_counts(spark, sf_dir):
     known = vocabulary()
     return token_counts.counts_by_document(table(spark, sf_dir, "documents"), known, known.special["<|endoftext|>"])
+
+
+@query
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_maxscore(spark, sf_dir):
+    return maxscore.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+@query
+def op13_embedding_whitening(spark, sf_dir):
+    return embedding_whitening.whitened(table(spark, sf_dir, "embeddings"), components=4)
