@@ -173,6 +173,35 @@ ORACLE_SQL: dict[str, str] = {
         f"CASE WHEN trade_date = {AS_OF} THEN volume + 1 ELSE volume END AS volume",
         "dated",
     ),
+    "pipeline_delta_unchanged": _bars(f"trade_date, count(*) AS bars, trade_date = {AS_OF} AS rewritten", "dated", "GROUP BY trade_date"),
+    "rollup_after_delta": _bars(
+        f"""symbol_name, '5min' AS timeseries_name, time_bucket(INTERVAL 5 MINUTE, bar_ts) AS "timestamp",
+            first(open ORDER BY bar_ts) AS open, max(high) AS high, min(low) AS low, last(close ORDER BY bar_ts) AS close,
+            CAST(sum(CASE WHEN trade_date = {AS_OF} THEN volume + 1 ELSE volume END) AS BIGINT) AS volume""",
+        "intraday",
+        "GROUP BY 1, 2, 3",
+    ),
+    "pipeline_json": _bars(ALL_COLUMNS),
+    "pipeline_json_quarantine": """SELECT DATE '2024-01-31' AS load_date, 'click' AS symbol_name, '1min' AS timeseries_name, CAST(NULL AS TIMESTAMP) AS "timestamp",
+          '{"Error Message":"' || n_name || '"}' AS malformed_line, 'error' AS payload_class, 'no known series' AS reason FROM nation
+        UNION ALL SELECT DATE '2024-01-31', r_name, '1min', NULL, '{"1. open":"1"}', 'malformed', 'unreadable bar' FROM region
+        UNION ALL SELECT DATE '2024-01-31', r_name, '1min', TIMESTAMP '2024-01-01 00:00:00', '{"1. open":"x"}', 'malformed', 'incomplete bar' FROM region""",
+    "json_all_series": f"""{BARS} five AS (
+        SELECT symbol_name, '5min' AS timeseries_name, time_bucket(INTERVAL 5 MINUTE, bar_ts) AS "timestamp",
+          first(open ORDER BY bar_ts) AS open, max(high) AS high, min(low) AS low, last(close ORDER BY bar_ts) AS close, CAST(sum(volume) AS BIGINT) AS volume
+        FROM intraday GROUP BY 1, 2, 3)
+        SELECT {ALL_COLUMNS} FROM bars UNION ALL SELECT * FROM five
+        UNION ALL SELECT symbol_name, 'Adjusted', bar_ts, open, high, low, close, volume FROM daily""",
+    "refetch_list": f"""{BARS} {_GRID}
+        SELECT symbol_name, '1min' AS timeseries_name, month, CAST(NULL AS DATE) AS load_date, 'missing' AS state FROM grid g WHERE NOT EXISTS (
+          SELECT 1 FROM intraday b WHERE b.symbol_name = g.symbol_name AND strftime(b.bar_ts, '%Y-%m') = g.month)
+        UNION ALL SELECT 'click', '1min', NULL, DATE '2024-01-31', 'error' WHERE EXISTS (SELECT 1 FROM nation)
+        UNION ALL SELECT 'view', '1min', NULL, DATE '2024-01-31', 'malformed' WHERE EXISTS (SELECT 1 FROM region)""",
+    "latest_100_from_core": f"""{BARS} ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY symbol_name, timeseries_name ORDER BY bar_ts DESC) AS place
+        FROM bars) SELECT {ALL_COLUMNS} FROM ranked WHERE place <= 100""",
+    "min_intraday_date_from_core": _bars("min(trade_date) AS min_date", "intraday"),
+    "core_followed_scan": _bars(ALL_COLUMNS, tail="WHERE symbol_name IN ('click', 'purchase', 'view')"),
     "pipeline_screened": _bars(ALL_COLUMNS),
     "pipeline_quarantine": f"""{BARS} refused AS (
         SELECT 'click' AS symbol_name, '1min' AS timeseries_name, CAST(NULL AS TIMESTAMP) AS "timestamp", CAST(NULL AS BIGINT) AS volume,

@@ -16,8 +16,12 @@ from candlewick.functions.prices import daily_volatility, pct_change_from_open
 from candlewick.operators import aggregates, backfill, bars, dimensions, lookups
 from candlewick.operators.resample import daily_from_intraday, resample
 from candlewick.plans.job import run
+from candlewick.plans.landings import ledger_of, read_ledger
+from candlewick.plans.landings import refetch_list as open_fetches
 from candlewick.plans.loads import delta_bars, delta_load, initial_load, quarantine_of
 from candlewick.plans.mart import daily_marts, last_day_mart
+from candlewick.plans.rollup import keep_rollup, read_rollup, refresh_rollups
+from candlewick.plans.stored import latest_from_core, min_date_from_core, symbols_from_core
 from candlewick.schema import BAR_COLUMNS, DAILY, INTRADAY, RAW_BAR, VALUE_COLUMNS
 from candlewick.schema import THROTTLE_MARKER as THROTTLE_TEXT
 from candlewick.sources import core_table, payloads, raw_layer
@@ -118,6 +122,25 @@ def json_timeseries(spark, sf_dir):
     return payloads.bars_from_json(rendered, "payload")
 
 
+def _payloads(stored, series):
+    """One JSON payload per symbol and day (1,440 one-minute bars at most) with all the named ``series`` of timeframes."""
+    stamp = F.col("timestamp").cast("string")
+    bar = F.struct(*[F.col(c).cast("string").alias(f) for c, f in payloads.JSON_FIELDS.items()])
+    lists = [F.map_from_entries(F.collect_list(F.when(F.col("timeseries_name") == timeframe, F.struct(stamp, bar)))).alias(name) for name, timeframe in series.items()]
+    meta = F.create_map(F.lit(payloads.SYMBOL_FIELD), F.col("symbol_name")).alias(payloads.META_FIELD)
+    return stored.groupBy("symbol_name", F.to_date("timestamp")).agg(*lists).select("symbol_name", meta, *[F.col(f"`{name}`") for name in series])
+
+
+@query
+def json_all_series(spark, sf_dir):
+    """Payloads with four series each, one of them of a name that no table lists."""
+    finer = intraday_bars(spark, sf_dir)
+    stored = bars.union_bars(all_bars(spark, sf_dir), resample(finer, "5min"))
+    series = {"Time Series (Daily)": DAILY, "Time Series (1min)": INTRADAY, "Time Series (5min)": "5min", "Adjusted": DAILY}
+    rendered = _payloads(stored, series).select(F.to_json(F.struct(F.col(f"`{payloads.META_FIELD}`"), *[F.col(f"`{n}`") for n in series])).alias("payload"))
+    return payloads.bars_from_json(rendered, "payload")
+
+
 @query
 def json_timeseries_unreadable(spark, sf_dir):
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
@@ -332,6 +355,111 @@ def pipeline_quarantine(spark, sf_dir):
     return kept.select("load_date", "symbol_name", "timeseries_name", "timestamp", "volume", "malformed_line", "payload_class")
 
 
+def _landed_as_json(spark, sf_dir):
+    """Two symbols as CSV, the others as a JSON file per day with both series; an error payload per nation, and per region
+    one with a bar that has no time and one that has no prices."""
+    root = new_folder(spark, "raw")
+    everything = all_bars(spark, sf_dir)
+    as_csv = F.col("symbol_name").isin("click", "view")
+    raw_layer.write_raw_layer(everything.where(as_csv), root, LANDED)
+    days = _payloads(everything.where(~as_csv), {"Time Series (Daily)": DAILY, "Time Series (1min)": INTRADAY})
+    nations = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.lit("click").alias("symbol_name"), F.col("n_name").alias("Error Message"))
+    odd = F.lit('{"soon":{"1. open":"1"},"2024-01-01 00:00:00":{"1. open":"x"}}')
+    regions = spark.read.parquet(f"{sf_dir}/region.parquet").select(
+        F.col("r_name").alias("symbol_name"), F.create_map(F.lit("1. Information"), F.col("r_name")).alias(payloads.META_FIELD),
+        F.from_json(odd, "map<string,map<string,string>>").alias("Time Series (1min)"),
+    )
+    for files in (days, nations, regions):
+        named = files.withColumns({"load_date": F.lit(str(LANDED)), "timeseries_name": F.lit(INTRADAY)})
+        named.write.mode("append").option("maxRecordsPerFile", 1).partitionBy("load_date", "symbol_name", "timeseries_name").json(root)
+    return root
+
+
+@query
+def pipeline_json(spark, sf_dir):
+    core = new_folder(spark, "core")
+    initial_load(spark, _landed_as_json(spark, sf_dir), core, LANDED)
+    return core_table.read_core(spark, core).select(BAR_COLUMNS)
+
+
+@query
+def pipeline_json_quarantine(spark, sf_dir):
+    core = new_folder(spark, "core")
+    initial_load(spark, _landed_as_json(spark, sf_dir), core, LANDED)
+    kept = spark.read.parquet(quarantine_of(core))
+    return kept.select("load_date", "symbol_name", "timeseries_name", "timestamp", "malformed_line", "payload_class", "reason")
+
+
+@query
+def refetch_list(spark, sf_dir):
+    """What is open after a night of refusals and another on which one of the refused series was landed."""
+    raw, core = _landed_with_refusals(spark, sf_dir), new_folder(spark, "core")
+    initial_load(spark, raw, core, LANDED)
+    raw_layer.write_raw_layer(daily_bars(spark, sf_dir).where(F.col("symbol_name") == "purchase"), raw, LANDED_NEXT)
+    delta_load(spark, raw, core, LANDED_NEXT, LANDED)
+    ledger = read_ledger(spark, ledger_of(quarantine_of(core)))
+    return open_fetches(ledger, bars.of_timeframe(core_table.read_core(spark, core), INTRADAY), LANDED)
+
+
+def _corrected(spark, sf_dir):
+    """A core table after a full load and a day's delta load of corrected volumes, with its raw layer and its files before the latter."""
+    raw, core = _landed(spark, sf_dir), new_folder(spark, "core")
+    initial_load(spark, raw, core, LANDED)
+    file = F.col("_metadata.file_path").alias("file")
+    before = written(core_table.read_core(spark, core).select("trade_date", file).distinct(), "files")
+    raw_layer.write_raw_layer(all_bars(spark, sf_dir).withColumn("volume", F.col("volume") + 1), raw, LANDED_NEXT)
+    delta_load(spark, raw, core, LANDED_NEXT, AS_OF)
+    return raw, core, before
+
+
+@query
+def pipeline_delta_unchanged(spark, sf_dir):
+    """After a correction of one day, both loads again: which days have files that were not there before."""
+    raw, core, before = _corrected(spark, sf_dir)
+    initial_load(spark, raw, core, LANDED)
+    delta_load(spark, raw, core, LANDED_NEXT, AS_OF)
+    now = core_table.read_core(spark, core).groupBy("trade_date", F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("bars"))
+    known = before.withColumn("known", F.lit(True))
+    days = now.join(known, ["trade_date", "file"], "left").groupBy("trade_date")
+    return days.agg(F.sum("bars").alias("bars"), F.bool_or(F.col("known").isNull()).alias("rewritten"))
+
+
+@query
+def rollup_after_delta(spark, sf_dir):
+    """5-minute bars kept through a load whose last hours were late and a delta load that corrects the day."""
+    raw, core = new_folder(spark, "raw"), new_folder(spark, "core")
+    late = (F.to_date("timestamp") == F.lit(AS_OF)) & (F.hour("timestamp") >= 20)
+    raw_layer.write_raw_layer(all_bars(spark, sf_dir).where(~late), raw, LANDED)
+    initial_load(spark, raw, core, LANDED)
+    keep_rollup(spark, core, "5min")
+    refresh_rollups(spark, core)
+    raw_layer.write_raw_layer(all_bars(spark, sf_dir).withColumn("volume", F.col("volume") + 1), raw, LANDED_NEXT)
+    delta_load(spark, raw, core, LANDED_NEXT, AS_OF)
+    refresh_rollups(spark, core)
+    return read_rollup(spark, core, "5min")
+
+
+def _core(spark, sf_dir):
+    path = new_folder(spark, "core")
+    core_table.replace_days(all_bars(spark, sf_dir), path)
+    return path
+
+
+@query
+def latest_100_from_core(spark, sf_dir):
+    return latest_from_core(spark, _core(spark, sf_dir), 100)
+
+
+@query
+def min_intraday_date_from_core(spark, sf_dir):
+    return min_date_from_core(spark, _core(spark, sf_dir))
+
+
+@query
+def core_followed_scan(spark, sf_dir):
+    return symbols_from_core(spark, _core(spark, sf_dir), FOLLOWED).select(BAR_COLUMNS)
+
+
 def _load_then_mart(spark, sf_dir, mode):
     core, mart = new_folder(spark, "core"), new_folder(spark, "mart")
     run(spark, mode, _landed(spark, sf_dir), core, mart, LANDED, AS_OF)

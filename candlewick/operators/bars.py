@@ -73,22 +73,21 @@ def first_bar(bars: DataFrame) -> DataFrame:
     return bars.orderBy(F.col("timestamp").asc_nulls_last(), "symbol_name", "timeseries_name").limit(1)
 
 
-def latest_bars(bars: DataFrame, count: int = 100) -> DataFrame:
+def latest_bars(bars: DataFrame, count: int = 100, slices: int = 32) -> DataFrame:
     """The newest ``count`` bars of each symbol and timeframe.
 
     Ranking runs in two rounds. The first ranks within slices of a symbol, so a
     hot symbol is spread over many tasks; the second sees at most
-    ``slices * count`` rows of a symbol.
+    ``slices * count`` rows of a symbol. One slice (for bars that are known to be few a symbol) means one round.
     """
-    slices = 32
     newest = [F.col("timestamp").desc(), *[F.col(c).desc() for c in VALUE_COLUMNS]]
     series = ["symbol_name", "timeseries_name"]
-    rank = F.row_number()
-    return (
-        bars.withColumn("slice", F.pmod(F.xxhash64("timestamp", *VALUE_COLUMNS), F.lit(slices)))
-        .withColumn("rank", rank.over(Window.partitionBy(*series, "slice").orderBy(*newest)))
-        .where(F.col("rank") <= count)
-        .withColumn("rank", rank.over(Window.partitionBy(*series).orderBy(*newest)))
-        .where(F.col("rank") <= count)
-        .drop("slice", "rank")
-    )
+    if slices > 1:
+        sliced = bars.withColumn("slice", F.pmod(F.xxhash64("timestamp", *VALUE_COLUMNS), F.lit(slices)))
+        bars = _top(sliced, count, [*series, "slice"], newest).drop("slice")
+    return _top(bars, count, series, newest)
+
+
+def _top(bars: DataFrame, count: int, keys: list, order: list) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return bars.withColumn("rank", rank).where(F.col("rank") <= count).drop("rank")

@@ -16,8 +16,6 @@ INTERVALS = {
 }
 
 
-
-
 def _minutes() -> Column:
     """Length of a bar's interval in minutes; null where it is no intraday bar."""
     known = F.create_map(*[F.lit(x) for name, length in INTERVALS.items() for x in (name, int(length.split()[0]))])

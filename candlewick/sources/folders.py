@@ -27,6 +27,11 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} can't be moved to {target}")
 
 
+def make(spark: SparkSession, path: str) -> None:
+    system, place = _opened(spark, path)
+    system.mkdirs(place)
+
+
 def mark(spark: SparkSession, path: str) -> None:
     """Make an empty file."""
     system, place = _opened(spark, path)

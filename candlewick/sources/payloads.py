@@ -1,15 +1,16 @@
 """Vendor payloads: screening of raw texts, and the JSON form of a time series."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from candlewick.schema import BAR_COLUMNS, DAILY, ERROR_MARKER, PRICE, THROTTLE_MARKER
-from candlewick.sources.raw_layer import MALFORMED_LINE, SOURCE_FILE, malformed, well_formed
+from candlewick.schema import BAR_COLUMNS, DAILY, ERROR_MARKER, PRICE, THROTTLE_MARKER, VALUE_COLUMNS
+from candlewick.sources.raw_layer import LANDED_AT, MALFORMED_LINE, SOURCE_FILE, malformed, well_formed
 
 ERROR, THROTTLED, OK, MALFORMED = "error", "throttled", "ok", "malformed"
 
-# The interval names a JSON payload may carry, and the timeframe each stands for.
+# Names of series that a JSON payload may carry, and the timeframe each stands for.
 SERIES_NAMES = {
     "Daily": DAILY,
     "1min": "1min",
@@ -26,6 +27,7 @@ JSON_FIELDS = {
     "close": "4. close",
     "volume": "5. volume",
 }
+META_FIELD = "Meta Data"
 SYMBOL_FIELD = "2. Symbol"
 
 
@@ -72,56 +74,98 @@ def screened(landed: DataFrame, error_marker: str = ERROR_MARKER, throttle_marke
         .agg(F.min("payload_class").alias("payload_class"))  # an error comes before a throttle
     )
     bars = well_formed(landed).join(files, SOURCE_FILE, "left_anti")
-    lines = malformed(landed).join(files, SOURCE_FILE, "left").withColumn("payload_class", F.coalesce("payload_class", F.lit(MALFORMED)))
+    lines = malformed(landed).join(files, SOURCE_FILE, "left").withColumns({"payload_class": F.coalesce("payload_class", F.lit(MALFORMED)), "reason": F.lit(None).cast("string")})
     lost = well_formed(landed).join(files, SOURCE_FILE)
     return bars, lines.unionByName(lost, allowMissingColumns=True)
 
 
-def _payload_type() -> T.StructType:
-    bar = T.StructType([T.StructField(name, T.StringType()) for name in JSON_FIELDS.values()])
-    series = T.MapType(T.StringType(), bar)
-    fields = [T.StructField("Meta Data", T.MapType(T.StringType(), T.StringType()))]
-    fields += [T.StructField(f"Time Series ({name})", series) for name in SERIES_NAMES]
-    return T.StructType(fields)
+def _members(value: Column) -> Column:
+    """The members of a VARIANT object by name; null where it is no object."""
+    return F.try_variant_get(value, "$", "map<string,variant>")
 
 
-def bars_from_json(payloads: DataFrame, text: str) -> DataFrame:
-    """One row per bar of each JSON payload in column ``text``; unreadable values are NULL."""
-    parsed = payloads.select(F.from_json(text, _payload_type()).alias("p"))
-    # A payload holds one series; the other fields of the struct are null.
-    series = F.coalesce(
-        *[
-            F.when(
-                F.col(f"p.`Time Series ({name})`").isNotNull(),
-                F.struct(
-                    F.lit(timeframe).alias("timeseries_name"),
-                    F.col(f"p.`Time Series ({name})`").alias("bars"),
-                ),
-            )
-            for name, timeframe in SERIES_NAMES.items()
-        ]
+def _is_object(value: Column) -> Column:
+    return F.schema_of_variant(value).startswith("OBJECT")
+
+
+def _series(parsed: Column) -> Column:
+    """The members of a payload that are series: objects of a known name, or of any other name if they hold a bar."""
+
+    def is_series(name: Column, value: Column) -> Column:
+        holds_bar = F.coalesce(F.exists(F.map_values(_members(value)), lambda bar: F.coalesce(_is_object(bar), F.lit(False))), F.lit(False))
+        known = name.isin([f"Time Series ({x})" for x in SERIES_NAMES])
+        return (name != META_FIELD) & F.coalesce(_is_object(value), F.lit(False)) & (known | holds_bar)
+
+    return F.map_filter(_members(parsed), is_series)
+
+
+def _timeframe(name: Column) -> Column:
+    """The timeframe of a series: by the table of names, or as the vendor has it in brackets, or else the whole name."""
+    within = F.regexp_extract(name, r"^Time Series \((.+)\)$", 1)
+    known = F.create_map(*[F.lit(x) for pair in SERIES_NAMES.items() for x in pair])
+    return F.coalesce(known[within], F.when(within != "", within), name)
+
+
+def json_rows(payloads: DataFrame, text: str) -> DataFrame:
+    """Every bar of every series of the JSON payloads in column ``text``, and every payload without one, from one parse.
+
+    ``payload`` has the row of ``payloads``. A bar has ``bar`` (its text), ``symbol_name``, ``series``, ``timeseries_name``, ``stamp``, ``timestamp``
+    and values; an unreadable value is NULL. ``reason`` says why a row is no bar: ``not json`` (or names that come
+    twice), ``no known series``, ``no bars``, or ``unreadable bar`` (no timestamp, or no object).
+    """
+    parsed = payloads.select(F.struct("*").alias("payload"), F.try_parse_json(text).alias("parsed"))
+    named = parsed.select("payload", F.try_variant_get("parsed", f"$['{META_FIELD}']['{SYMBOL_FIELD}']", "string").alias("symbol_name"), _series(F.col("parsed")).alias("all_series"), F.col("parsed").isNull().alias("no_json"))
+    by_series = named.select("*", F.explode_outer("all_series").alias("series", "bars"))
+    rows = by_series.select("*", F.explode_outer(_members(F.col("bars"))).alias("stamp", "one"))
+    # One of the empty series of a payload that has bars elsewhere says nothing.
+    empty = F.forall(F.map_values("all_series"), lambda value: F.size(F.map_keys(_members(value))) == 0)
+    rows = rows.where(F.col("stamp").isNotNull() | F.col("series").isNull() | (empty & (F.col("series") == F.element_at(F.map_keys("all_series"), 1))))
+    values = {name: F.try_variant_get("one", f"$['{field}']", "string").try_cast("bigint" if name == "volume" else PRICE) for name, field in JSON_FIELDS.items()}
+    timestamp = F.col("stamp").try_cast("timestamp_ntz")
+    reason = (
+        F.when(F.col("no_json"), "not json")
+        .when(F.col("series").isNull(), "no known series")
+        .when(F.col("stamp").isNull(), "no bars")
+        .when(timestamp.isNull() | ~F.coalesce(_is_object(F.col("one")), F.lit(False)), "unreadable bar")
+    )
+    return rows.withColumns({**values, "timestamp": timestamp, "timeseries_name": _timeframe(F.col("series")), "reason": reason, "bar": F.to_json("one")}).select(
+        "payload", "series", "stamp", "bar", "reason", *BAR_COLUMNS
     )
-    rows = parsed.select(
-        F.col("p.`Meta Data`").getItem(SYMBOL_FIELD).alias("symbol_name"), series.alias("s")
-    ).select("symbol_name", "s.timeseries_name", F.explode("s.bars").alias("stamp", "bar"))
-    values = {
-        name: F.col(f"bar.`{field}`").try_cast("bigint" if name == "volume" else PRICE)
-        for name, field in JSON_FIELDS.items()
-    }
-    return rows.withColumns({"timestamp": F.col("stamp").try_cast("timestamp_ntz"), **values}).select(BAR_COLUMNS)
+
+
+def bars_from_json(payloads: DataFrame, text: str) -> DataFrame:
+    """One row per bar of each JSON payload in column ``text``, of all its series; unreadable values are NULL."""
+    return json_rows(payloads, text).where(F.col("reason").isNull()).select(BAR_COLUMNS)
 
 
 def unreadable_payloads(payloads: DataFrame, text: str) -> DataFrame:
-    """The payloads that :func:`bars_from_json` makes no bar of, with all their columns and the ``reason``.
+    """The payloads that :func:`bars_from_json` makes no bar of, with all their columns and the ``reason``."""
+    return json_rows(payloads, text).where(F.col("reason").isNotNull() & F.col("stamp").isNull()).select("payload.*", "reason")
 
-    The reason is ``not json``, ``no known series`` or ``no bars``.
+
+def refused_bars(payloads: DataFrame, text: str) -> DataFrame:
+    """The bars of readable payloads that are none: ``series``, ``stamp``, ``bar`` (their text), with all columns of the payload."""
+    return json_rows(payloads, text).where(F.col("reason").isNotNull() & F.col("stamp").isNotNull()).select("payload.*", "series", "stamp", "bar")
+
+
+def screened_payloads(landed: DataFrame, error_marker: str = ERROR_MARKER, throttle_marker: str = THROTTLE_MARKER) -> tuple[DataFrame, DataFrame]:
+    """Landed JSON files (of :func:`~candlewick.sources.raw_layer.scan_payloads`) as (bars, refused rows), like :func:`screened`.
+
+    Every bar of every series is in one of the two; one with a missing value is refused. A payload
+    without a symbol has that of its folder. A file without any bar is refused as its text says.
     """
-    parsed = F.from_json(text, _payload_type())
-    series = [parsed[f"Time Series ({name})"] for name in SERIES_NAMES]
-    known = F.coalesce(*series)
-    reason = (
-        F.when(F.try_parse_json(text).isNull(), "not json")
-        .when(known.isNull(), "no known series")
-        .when(F.size(known) == 0, "no bars")
+    rows = json_rows(landed, "value").withColumn("symbol_name", F.coalesce("symbol_name", "payload.symbol_name"))
+    incomplete = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in ["symbol_name", *VALUE_COLUMNS]))
+    rows = rows.withColumn("reason", F.when(F.col("reason").isNotNull(), F.col("reason")).when(incomplete, "incomplete bar"))
+    kept = {c: F.col(f"payload.{c}") for c in (LANDED_AT, SOURCE_FILE)}
+    bars = rows.where(F.col("reason").isNull()).withColumns(kept).select(*BAR_COLUMNS, *kept)
+    marked = screen_texts(rows.where(F.col("reason").isNotNull()).withColumn("whole", F.col("payload.value")), "whole", error_marker, throttle_marker)
+    refused = marked.withColumns(
+        kept
+        | {
+            "payload_class": F.when(F.col("stamp").isNull() & (F.col("payload_class") != OK), F.col("payload_class")).otherwise(MALFORMED),
+            MALFORMED_LINE: F.coalesce("bar", "whole"),
+            "timeseries_name": F.coalesce("timeseries_name", "payload.timeseries_name"),
+        }
     )
-    return payloads.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    return bars, refused.select(*BAR_COLUMNS, *kept, MALFORMED_LINE, "payload_class", "reason")

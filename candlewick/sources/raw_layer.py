@@ -13,6 +13,8 @@ from candlewick.schema import RAW_BAR, TIMEFRAMES, VALUE_COLUMNS
 MALFORMED_LINE = "malformed_line"
 LANDED_AT = "landed_at"
 SOURCE_FILE = "source_file"
+PAYLOAD_SUFFIX = ".json"
+"""Ends the names of JSON files; all others are read as CSV lines."""
 HEADER = ",".join(RAW_BAR.fieldNames())
 
 
@@ -38,8 +40,7 @@ def scan_raw_layer(
     :func:`well_formed` and :func:`malformed`. The header is told by its text, so a first
     line that is something else is not taken for one.
     """
-    names = ",".join(timeframes)
-    pattern = f"{root.rstrip('/')}/{{,load_date=}}{load_date}/*/{{,timeseries_name=}}{{{names}}}"
+    pattern = _landed_at(root, load_date, timeframes)
     reader = spark.read.option("header", schema is None)
     if schema is not None:
         file_schema = T.StructType([*schema.fields, T.StructField(MALFORMED_LINE, T.StringType())])
@@ -50,7 +51,22 @@ def scan_raw_layer(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return _no_files(spark, schema)
-    return with_path_columns(files if schema is None else without_headers(files))
+    return with_path_columns(files if schema is None else without_headers(files)).where(~F.col(SOURCE_FILE).endswith(PAYLOAD_SUFFIX))
+
+
+def scan_payloads(spark: SparkSession, root: str, load_date: date | str, timeframes: Iterable[str] = TIMEFRAMES) -> DataFrame:
+    """The JSON files landed on ``load_date``, one row each: ``value`` (the text) and the path columns of :func:`scan_raw_layer`."""
+    try:
+        files = spark.read.text(_landed_at(root, load_date, timeframes), wholetext=True, pathGlobFilter=f"*{PAYLOAD_SUFFIX}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return _no_files(spark, None).withColumn("value", F.lit(None).cast("string"))
+    return with_path_columns(files)
+
+
+def _landed_at(root: str, load_date: date | str, timeframes: Iterable[str]) -> str:
+    return f"{root.rstrip('/')}/{{,load_date=}}{load_date}/*/{{,timeseries_name=}}{{{','.join(timeframes)}}}"
 
 
 def _no_files(spark: SparkSession, schema: T.StructType | None) -> DataFrame:
@@ -70,13 +86,13 @@ def with_path_columns(files: DataFrame) -> DataFrame:
         {
             LANDED_AT: F.col("_metadata.file_modification_time"),
             SOURCE_FILE: path,
-            "symbol_name": _folder_value(path, 3, "symbol_name="),
-            "timeseries_name": _folder_value(path, 2, "timeseries_name="),
+            "symbol_name": folder_value(path, 3, "symbol_name="),
+            "timeseries_name": folder_value(path, 2, "timeseries_name="),
         }
     )
 
 
-def _folder_value(path: Column, place: int, prefix: str) -> Column:
+def folder_value(path: Column, place: int, prefix: str) -> Column:
     """The folder at ``place`` from the end, decoded, without its ``key=`` if it has one.
 
     This runs for every row, so it takes the general way only where a name is escaped.

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from candlewick.functions.calendar import on_day
 from candlewick.operators.bars import followed_symbols
+from candlewick.plans.landings import ledger_of, record_landings
 from candlewick.plans.loads import quarantine_of
 from candlewick.schema import RAW_BAR, TIMEFRAMES
 from candlewick.sources import folders
@@ -81,7 +82,9 @@ def start_delta_stream(
             landed = kept_as(batch, "landed")
             landed.select(SOURCE_FILE, LANDED_AT).distinct().write.mode("overwrite").parquet(f"{taken}/batch={batch_id}")
             bars, refused = screened(landed)
-            refused.write.mode("overwrite").parquet(f"{refused_to}/batch={batch_id}")
+            by = refused.withColumn("written_by", F.lit(f"stream-{batch_id}")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            by.partitionBy("load_date", "written_by").parquet(refused_to)
+            record_landings(bars, refused, ledger_of(refused_to), f"stream-{batch_id}")
             if symbols is not None:
                 bars = followed_symbols(bars, symbols)
             merge_bars(bars if day is None else on_day(bars, day), core)

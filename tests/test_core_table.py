@@ -22,7 +22,8 @@ def test_layout(spark, tmp_path):
     path = str(tmp_path / "core")
     replace_days(frame(spark, [bar("A", "daily", "2024-01-30"), bar("A", "daily", "2024-02-01")]), path)
     folders = {os.path.relpath(d, path) for d, _, fs in os.walk(path) if any(f.endswith(".parquet") for f in fs)}
-    assert folders == {"yyyymm=202401/trade_date=2024-01-30", "yyyymm=202402/trade_date=2024-02-01"}
+    days = {"yyyymm=202401/trade_date=2024-01-30", "yyyymm=202402/trade_date=2024-02-01"}
+    assert folders == days | {f"_series_counts/{d}" for d in days}
 
 
 def test_loading_twice_changes_nothing(spark, tmp_path):

@@ -1,0 +1,168 @@
+"""What a stored table says without being read, and what it shows while it changes."""
+
+import os
+from datetime import date
+
+import pytest
+
+from candlewick.operators.bars import latest_bars
+from candlewick.operators.resample import resample
+from candlewick.plans import job, rollup
+from candlewick.plans.stored import latest_from_core, min_date_from_core, symbols_from_core
+from candlewick.schema import BAR_COLUMNS
+from candlewick.sources import core_table, folders
+from candlewick.sources.core_table import merge_bars, read_core, replace_days, series_counts
+from helpers import bar, frame, planned, random_bars
+
+DAYS = ["2024-01-15", "2024-01-16", "2024-01-17"]
+
+
+@pytest.fixture
+def core(tmp_path):
+    return str(tmp_path / "core")
+
+
+def _rows(df):
+    return sorted(map(tuple, df.select(BAR_COLUMNS).collect()), key=repr)
+
+
+def _times(path):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+
+
+def _cut_off_after(monkeypatch, moves):
+    real, calls = folders.move, []
+
+    def move(session, source, target):
+        calls.append(target)
+        if len(calls) > moves:
+            raise InterruptedError
+        real(session, source, target)
+
+    monkeypatch.setattr(folders, "move", move)
+    return lambda: monkeypatch.setattr(folders, "move", real)
+
+
+@pytest.mark.parametrize("moves", [0, 1, 2, 3])
+def test_no_reader_finds_a_day_missing(spark, core, tmp_path, monkeypatch, moves):
+    both = [bar(s, t, d, open=2, close=4) for s in "AB" for t in ("daily", "1min") for d in DAYS]
+    merge_bars(frame(spark, both), core)
+    mend = _cut_off_after(monkeypatch, moves)
+    with pytest.raises(InterruptedError):
+        merge_bars(frame(spark, [bar("A", "daily", d, volume=9) for d in DAYS[:2]]), core)
+    mend()
+    wanted = [r for r in both if r[:2] != ("A", "daily") or r[2].day == 17] + [bar("A", "daily", d, volume=9) for d in DAYS[:2]]
+    assert _rows(read_core(spark, core)) == sorted(wanted, key=repr)
+    assert _rows(read_core(spark, core, DAYS[0], DAYS[0])) == sorted((r for r in wanted if r[2].day == 15), key=repr)
+    assert _rows(core_table.read_core_days(spark, core, [date(2024, 1, 15), date(2024, 1, 17)])) == sorted((r for r in wanted if r[2].day != 16), key=repr)
+    assert {(r.trade_date.day, r.bars) for r in series_counts(spark, core).collect()} == {(15, 1), (16, 1), (17, 1)}
+    job.rebuild_mart(spark, core, str(tmp_path / "mart"), DAYS[0])
+    assert spark.read.parquet(str(tmp_path / "mart")).count() == 2
+
+
+def test_an_unchanged_day_is_not_rewritten(spark, core):
+    first = [bar(s, "1min", f"{d} 10:00:00") for s in "AB" for d in DAYS]
+    landed = frame(spark, first).selectExpr("*", "date'2024-01-18' AS load_date", "timestamp'2024-01-18 01:00:00' AS landed_at")
+    assert merge_bars(landed, core) == [date.fromisoformat(d) for d in DAYS]
+    before = _times(core)
+    assert merge_bars(landed, core) == [] and _times(core) == before
+    # An older landing of other values, and a correction of one bar.
+    older = frame(spark, [bar("A", "1min", f"{d} 10:00:00", volume=5) for d in DAYS]).selectExpr("*", "date'2024-01-17' AS load_date", "timestamp'2024-01-17 01:00:00' AS landed_at")
+    assert merge_bars(older, core) == [] and _times(core) == before
+    assert merge_bars(frame(spark, [bar("C", "1min", f"{DAYS[1]} 10:00:00")]), core) == [date(2024, 1, 16)]
+    after = _times(core)
+    assert {f for f in before if after.get(f) != before[f]} == {f for f in before if "2024-01-16" in f}
+
+
+def test_newest_bars_are_found_by_counts(spark, core):
+    rows = random_bars(11, days=9) + [bar("OLD", "1min", f"2020-05-04 10:{m:02}:00") for m in range(7)]
+    replace_days(frame(spark, rows), core)
+    for count in (1, 4, 30, 1000):
+        assert _rows(latest_from_core(spark, core, count)) == _rows(latest_bars(frame(spark, rows), count))
+    few = [bar("A", "1min", f"2024-01-{d:02} 10:{m:02}:00") for d in range(1, 29) for m in range(10)] + rows[-7:]
+    other = f"{core}2"
+    replace_days(frame(spark, few), other)
+    newest = latest_from_core(spark, other, 15)
+    read = {os.path.basename(os.path.dirname(f)) for f in newest.inputFiles() if "trade_date" in f}
+    assert read == {"trade_date=2024-01-28", "trade_date=2024-01-27", "trade_date=2020-05-04"} and newest.count() == 22
+
+
+def test_a_table_without_counts_is_counted(spark, core):
+    replace_days(frame(spark, random_bars(2)), core)
+    wanted = sorted(map(tuple, series_counts(spark, core).collect()))
+    folders.delete(spark, f"{core}/{core_table.COUNTS}/yyyymm=202403/trade_date=2024-03-02")
+    assert sorted(map(tuple, series_counts(spark, core).collect())) == wanted
+    assert series_counts(spark, f"{core}-none").count() == 0 and latest_from_core(spark, f"{core}-none").count() == 0
+
+
+def test_the_first_intraday_day(spark, core):
+    rows = [bar("A", "daily", f"2024-01-{d:02}") for d in range(1, 6)] + [bar("A", "1min", "2024-01-04 09:30:00"), bar("B", "1min", "2024-01-05 09:30:00")]
+    replace_days(frame(spark, rows), core)
+    first = min_date_from_core(spark, core)
+    assert [r.min_date for r in first.collect()] == [date(2024, 1, 4)]
+    assert all(core_table.COUNTS in f for f in first.inputFiles())
+    assert [r.min_date for r in min_date_from_core(spark, core, "5min").collect()] == [None]
+
+
+def test_names_reach_the_scan(spark, core):
+    replace_days(frame(spark, random_bars(5)), core)
+    found = symbols_from_core(spark, core, ["B", "E", "none"])
+    assert "PushedFilters: [In(symbol_name" in planned(found)
+    assert {r.symbol_name for r in found.collect()} == {"B", "E"}
+    assert symbols_from_core(spark, core, []).count() == 0
+
+
+def test_row_groups_without_the_symbols_are_skipped(spark, core):
+    """Names that are no dictionary's: within the least and the largest name of a row group only its Bloom filter tells."""
+    names = [f"S{i:06}" for i in range(0, 60_000, 2)]
+    stored = spark.createDataFrame([(n,) for n in names], "symbol_name string").selectExpr(
+        "symbol_name", "'1min' AS timeseries_name", "timestamp_ntz'2024-01-15 10:00:00' AS timestamp",
+        *[f"CAST(1 AS DECIMAL(18,4)) AS {c}" for c in ("open", "high", "low", "close")], "1L AS volume",
+    )
+    setting = "parquet.dictionary.page.size"
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set(setting, "1024")
+    try:
+        replace_days(stored, core)
+    finally:
+        hadoop.unset(setting)
+
+    def decoded(name):
+        found = symbols_from_core(spark, core, [name])
+        found.collect()
+        scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return scan.metrics().get("numOutputRows").get().value()
+
+    assert decoded("S000100") > 0 and decoded("S000101") == 0
+
+
+def test_rollups_follow_changed_days(spark, core):
+    rows = [bar(s, "1min", f"{d} 10:{m:02}:00", volume=m) for s in "AB" for d in DAYS for m in range(0, 60, 7)] + [bar("A", "daily", DAYS[0])]
+    merge_bars(frame(spark, rows), core)
+    rollup.keep_rollup(spark, core, "15min")
+    rollup.keep_rollup(spark, core, "15min")
+    assert rollup.refresh_rollups(spark, core) == {"15min": [date.fromisoformat(d) for d in DAYS]}
+    before = _times(f"{core}/{core_table.ROLLUPS}")
+    late = [bar("A", "1min", f"{DAYS[1]} 10:03:00", volume=50), bar("C", "1min", f"{DAYS[1]} 11:03:00")]
+    merge_bars(frame(spark, late), core)
+    merge_bars(frame(spark, late[:1]).selectExpr("*", "date'2000-01-01' AS load_date", "timestamp'2000-01-01 00:00:00' AS landed_at"), core)
+    assert rollup.refresh_rollups(spark, core) == {"15min": [date.fromisoformat(DAYS[1])]}
+    assert rollup.refresh_rollups(spark, core) == {"15min": []}
+    assert _rows(rollup.read_rollup(spark, core, "15min")) == _rows(resample(frame(spark, rows + late), "15min"))
+    after = _times(f"{core}/{core_table.ROLLUPS}")
+    assert {f: after.get(f) for f in before if DAYS[1] not in f} == {f: t for f, t in before.items() if DAYS[1] not in f}
+    with pytest.raises(ValueError):
+        rollup.keep_rollup(spark, core, "7min")
+
+
+def test_a_refresh_that_was_cut_off_is_made_up_for(spark, core, monkeypatch):
+    rows = [bar("A", "1min", f"{d} 10:{m:02}:00") for d in DAYS for m in (1, 2, 9)]
+    merge_bars(frame(spark, rows[:6]), core)
+    rollup.keep_rollup(spark, core, "5min")
+    mend = _cut_off_after(monkeypatch, 2)
+    with pytest.raises(InterruptedError):
+        rollup.refresh_rollups(spark, core)
+    mend()
+    merge_bars(frame(spark, rows), core)
+    rollup.refresh_rollups(spark, core)
+    assert _rows(rollup.read_rollup(spark, core, "5min")) == _rows(resample(frame(spark, rows), "5min"))
