@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.texts import fresh_name, id_and_text, strings, with_computed
+from candlewick.workspace import written
 
 EDIT_RATE = 0.08
 """Edits allowed for each character of an item."""
-LEAST_CHARS = 24
-"""Normalised items shorter than this are not passages and never match."""
+SHORT_CHARS = 24
+"""Normalised items shorter than this match as they are and as whole words only: edits would make other words of them."""
 BLOCK_CHARS = 1_000_000
 """Characters of items searched in one go; what is sent to the tasks is bounded by it."""
 
@@ -34,7 +35,7 @@ def normalised(text: str) -> str:
 
 
 def budget(item: str, rate: float = EDIT_RATE) -> int:
-    return int(len(item) * rate)
+    return int(len(item) * rate) if len(item) >= SHORT_CHARS else 0
 
 
 def split_item(item: str, edits: int) -> list[tuple[int, str]]:
@@ -111,13 +112,18 @@ class Block:
         for i, at in starts.items():
             item, k = self.items[i][1], self.edits[i]
             exact = sorted(s for s in at if s >= 0 and text.startswith(item, s))
-            free = -1
+            if len(item) < SHORT_CHARS:
+                exact = [s for s in exact if _whole_words(text, s, s + len(item))]
+            taken, free = [], -1
             for s in exact:
                 if s >= free:
-                    found.append({"item_id": self.items[i][0], "start": s, "stop": s + len(item), "distance": 0})
                     free = s + len(item)
-            for low, high in _joined(_apart(sorted(at), exact, len(item)), len(item), k):
-                found += self._verified(i, text, max(0, low), min(len(text), high))
+                    taken.append((s, free))
+            found += [{"item_id": self.items[i][0], "start": s, "stop": e, "distance": 0} for s, e in taken]
+            if k:
+                others = sorted(at.difference(s for s, _ in taken))  # an exact copy that overlaps one stays a place to look
+                for low, high in _without(_joined(others, len(item), k), taken, len(text)):
+                    found += self._verified(i, text, low, high)
         return sorted(found, key=lambda m: (m["start"], m["stop"], m["item_id"] is not None, m["item_id"] or 0))
 
     def _verified(self, i: int, text: str, low: int, high: int) -> Iterator[dict]:
@@ -149,16 +155,25 @@ class Block:
             scores[stop - low : again - low] = ahead.distances(text[stop:again])
 
 
-def _apart(starts: list[int], exact: list[int], size: int) -> list[int]:
-    """Those of the sorted ``starts`` that are ``size`` or more from every exact match."""
-    if not exact:
-        return starts
-    at, known = np.array(starts), np.array(exact)
-    after = np.searchsorted(known, at)
-    near = at - known[np.maximum(after - 1, 0)] < size
-    near &= after > 0
-    near |= (known[np.minimum(after, len(known) - 1)] - at < size) & (after < len(known))
-    return at[~near].tolist()
+def _whole_words(text: str, start: int, stop: int) -> bool:
+    return (start == 0 or not text[start - 1].isalnum()) and (stop == len(text) or not text[stop].isalnum())
+
+
+def _without(stretches: list[tuple[int, int]], taken: list[tuple[int, int]], size: int) -> Iterator[tuple[int, int]]:
+    """What of the stretches (in order, apart) lies within the text and outside the taken spans (in order, apart)."""
+    first = 0
+    for low, high in stretches:
+        low, high = max(0, low), min(size, high)
+        while first < len(taken) and taken[first][1] <= low:
+            first += 1
+        at = first
+        while at < len(taken) and taken[at][0] < high:
+            if low < taken[at][0]:
+                yield low, taken[at][0]
+            low = taken[at][1]
+            at += 1
+        if low < high:
+            yield low, high
 
 
 def _joined(starts: list[int], size: int, edits: int) -> list[tuple[int, int]]:
@@ -173,12 +188,12 @@ def _joined(starts: list[int], size: int, edits: int) -> list[tuple[int, int]]:
     return out
 
 
-def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", block_chars: int = BLOCK_CHARS, least: int = LEAST_CHARS) -> Iterator[list[tuple[int | None, str]]]:
+def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int | None, str]]]:
     """The normalised items in blocks of bounded size, fetched a partition at a time."""
     block, size = [], 0
     for row in items.select(items[id_col].cast("bigint"), items[text_col].cast("string")).toLocalIterator():
         text = normalised(row[1] or "")
-        if len(text) < least:
+        if not text:
             continue
         if block and size + len(text) > block_chars:
             yield block
@@ -191,22 +206,30 @@ def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text
 def with_matches(docs: DataFrame, items: DataFrame, name: str, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", rate: float = EDIT_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` with all its columns and, as one more, the matches of every item: id, span in the normalised text, edits.
 
-    One row per input row; a null or empty text has no match, and neither has a null, empty
-    or short item. Repeated items are reported for each of their rows. No shuffle: a
-    block of items of bounded size goes to the documents, one block after the other.
+    One row per input row; a null or empty text has no match, and neither has a null or empty
+    item. An item of fewer than 24 characters matches without edits, between characters that are no letters or digits.
+    Exact copies are taken first, from the left; what lies between them is searched for
+    others, so a copy with edits counts beside an exact one. Repeated items are reported for each of their
+    rows. No shuffle: a block of items of bounded size goes to the documents, and what it has
+    found is stored with them before the next block is sent.
     """
-    parts = []
+    before = None
     for block in item_blocks(items, item_id_col, item_text_col, block_chars):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
+        if before is not None:
+            docs = written(docs, "decontaminated")  # ends the last block's work
+            before.unpersist()
+        before = sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def make(sent=sent):
             search = Block(sent.value, rate).search
             return lambda batch: pa.array([search(normalised(t)) for t in strings(batch, text_col)], _MATCH_TYPE)
 
-        part = fresh_name(docs, f"{name}_{len(parts)}")
-        docs = with_computed(docs, part, MATCH, make, text_col)
-        parts.append(part)
-    return docs.withColumn(name, F.concat(*parts)).drop(*parts)
+        if name in docs.columns:
+            part = fresh_name(docs, f"{name}_more")
+            docs = with_computed(docs, part, MATCH, make, text_col).withColumn(name, F.concat(name, part)).drop(part)
+        else:
+            docs = with_computed(docs, name, MATCH, make, text_col)
+    return docs
 
 
 def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

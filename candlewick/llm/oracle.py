@@ -1,6 +1,6 @@
 """The same results as DuckDB SQL, where SQL can express them."""
 
-from candlewick.llm import licenses
+from candlewick.llm import licenses, quality_rules
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -34,6 +34,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
  failed_bits & 3 <> 0 AS base_failed, failed_bits = 0 AS kept, failed_bits FROM b
 """
 
+_RULE_ROWS = ", ".join(f"('{rule}', {1 << quality_rules.RULES.index(rule)})" for rule in quality_rules.PRODUCTION.rules)
+
+ORACLE_SQL["rule_ablation"] = f"""
+WITH ledger AS ({ORACLE_SQL["op3_quality_rules"]}), rules(rule, bit) AS (VALUES {_RULE_ROWS})
+SELECT rule, count(*) FILTER (failed_bits & bit <> 0) AS n_failed, count(*) FILTER (failed_bits & {quality_rules.PRODUCTION.mask} = bit) AS n_only
+FROM rules CROSS JOIN ledger GROUP BY rule
+"""
+
 
 _TEMPLATES = ", ".join(f"('{name}', '{text}')" for name, text in licenses.TEMPLATES.items())
 _ROWS = "(SELECT row_number() OVER () AS r, * FROM documents)"

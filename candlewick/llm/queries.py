@@ -62,6 +62,12 @@ def op3_quality_rules(spark, sf_dir):
     )
 
 
+@query
+def rule_ablation(spark, sf_dir):
+    """What each rule of the production policy rejects, and rejects alone."""
+    return quality_rules.ablation(quality_rules.ledger(table(spark, sf_dir, "documents")), quality_rules.PRODUCTION)
+
+
 @query
 def op4_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", simhash.hex_print().alias("fingerprint"), "component_id")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.components import components
-from candlewick.llm.texts import column, id_and_text, map_pieces, octets
+from candlewick.llm.texts import column, fresh_name, id_and_text, map_pieces, octets, with_computed
 from candlewick.workspace import written
 
 SHINGLE = 3
@@ -165,16 +165,22 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``doc_id``, ``fp`` (bigint) and ``component_id``: the smallest doc_id reachable over links of ``max_bits`` or fewer bits.
 
     One row per input row. Documents without a word share the fingerprint 0 and link like
-    any others. A null id stays in its component without naming it, unless the component
-    has no other; then ``component_id`` is null. Texts are read once; equal
+    any others. A null id stays in its component, and links others, without naming it; a component
+    of nothing else has a null ``component_id``. Texts are read once; equal
     fingerprints become one node before anything is copied or compared.
     """
     prints = written(fingerprints(df, id_col, text_col, size), "fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    edges = written(links_at_anchors(replicas(nodes.where("node is not null"), max_bits), max_bits).distinct(), "links")
-    found = written(components(edges).where("node != component"), "components")
-    classes = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(classes(prints, max_bits), "fp").select("doc_id", "fp", "component_id")
+
+
+def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """``fp``, ``component_id`` for every fingerprint of a stored table of them; the fingerprints are the nodes."""
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    edges = written(links_at_anchors(replicas(nodes.select("fp", F.col("fp").alias("node")), max_bits), max_bits).distinct(), "links")
+    linked = written(components(edges), "components").join(nodes.withColumnRenamed("fp", "node"), "node")
+    named = linked.groupBy("component").agg(F.min("least").alias("component_id"))
+    of_linked = linked.join(named, "component").select(F.col("node").alias("fp"), F.lit(True).alias("linked"), "component_id")
+    return nodes.join(of_linked, "fp", "left").select("fp", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("least")).alias("component_id"))
 
 
 def hex_print(fp: str = "fp"):
@@ -185,14 +191,25 @@ def hex_print(fp: str = "fp"):
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with all its columns, less every document that is in a class with a smaller id; one row per class stays.
 
-    Of several rows that share the id that stays, one does. Rows without an id can't be
-    told apart and all stay.
+    Rows that share an id are told apart by their fingerprints: each class keeps one row of the id that names
+    it. Rows without an id can't be told apart and all stay.
     """
-    found = written(near_duplicates(docs, id_col, text_col, size, max_bits).select("doc_id", "component_id"), "classes")
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    left = docs.join(gone, id_col, "left_anti")
-    shared = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select(F.col("doc_id").alias(id_col))
+    prints = written(fingerprints(docs, id_col, text_col, size), "fingerprints")
+    of_prints = written(classes(prints, max_bits), "classes")
+    named = prints.join(of_prints, "fp").select("doc_id", "component_id")
+    gone = named.where("doc_id != component_id").select(F.col("doc_id").alias(id_col)).distinct()
+    shared = prints.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select(F.col("doc_id").alias(id_col))
     if shared.isEmpty():
-        return left
+        return docs.join(gone, id_col, "left_anti")
     shared = written(shared, "shared-ids")
-    return left.join(shared, id_col, "left_anti").unionByName(left.join(shared, id_col, "left_semi").dropDuplicates([id_col]))
+    alone = docs.join(gone.unionByName(shared).distinct(), id_col, "left_anti")
+    # Only rows of shared ids have their fingerprints taken again, to be met one by one.
+    fp, component = fresh_name(docs, "fp"), fresh_name(docs, "component_id")
+
+    def make():
+        return lambda batch: pa.array(np.array([fingerprint(t, size) for t in octets(batch, text_col)], np.uint64).view(np.int64))
+
+    printed = with_computed(docs.join(shared, id_col, "left_semi").select(docs.columns), fp, "bigint", make, text_col)
+    of_class = printed.join(of_prints.select(F.col("fp").alias(fp), F.col("component_id").alias(component)), fp)
+    first = of_class.where(F.col(id_col) == F.col(component)).dropDuplicates([component])
+    return alone.select(docs.columns).unionByName(first.select(docs.columns))

@@ -52,13 +52,26 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 
 def strings(batch: pa.RecordBatch, name: str = "text") -> list[str]:
-    """The texts of a batch; null counts as empty."""
-    return [x or "" for x in column(batch, name).to_pylist()]
+    """The texts of a batch; null counts as empty.
+
+    Spark does not check that a text is UTF-8; bytes that aren't become the replacement
+    character (U+FFFD), here and in :func:`octets`.
+    """
+    texts = column(batch, name)
+    try:
+        return [x or "" for x in texts.to_pylist()]
+    except UnicodeDecodeError:
+        return [(x or b"").decode("utf-8", "replace") for x in texts.cast(pa.binary()).to_pylist()]
 
 
 def octets(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """The texts of a batch as UTF-8; null counts as empty."""
-    return [x or b"" for x in column(batch, name).cast(pa.binary()).to_pylist()]
+    raw = column(batch, name).cast(pa.binary())
+    try:
+        raw.cast(pa.string())  # checks the bytes
+    except pa.ArrowInvalid:
+        return [t.encode() for t in strings(batch, name)]
+    return [x or b"" for x in raw.to_pylist()]
 
 
 def words_of(text: bytes) -> list[bytes]:

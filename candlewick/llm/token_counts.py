@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from candlewick.llm.bpe import Encoder, Vocabulary
 from candlewick.llm.texts import column, id_and_text, list_array, pieces, strings
+from candlewick.sources import folders
 from candlewick.workspace import new_folder, written
 
 BLOCK_BYTES = 4 << 20
@@ -26,8 +27,15 @@ STRETCH = 4096
 """Blocks that one step of the prefix scan goes over."""
 
 
+# Schemes of Spark's file systems that pyarrow knows by another name.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 def _opened(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    return pyarrow.fs.FileSystem.from_uri(path if "://" in path else f"file://{path.removeprefix('file:')}")
+    scheme, _, rest = path.partition("://")
+    if not rest:
+        return pyarrow.fs.FileSystem.from_uri(f"file://{path.removeprefix('file:')}")
+    return pyarrow.fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}://{rest}")
 
 
 def write_token_files(docs: DataFrame, vocabulary: Vocabulary, separator: int, folder: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -39,6 +47,8 @@ def write_token_files(docs: DataFrame, vocabulary: Vocabulary, separator: int, f
     """
     if vocabulary.size > 1 << 16:
         raise ValueError("ids don't fit 16 bits")
+    _opened(folder)  # a file system that pyarrow doesn't know is an error before any work begins
+    folders.make(docs.sparkSession, folder)  # no document, no file, but a folder to list
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

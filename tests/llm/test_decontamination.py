@@ -66,13 +66,41 @@ def test_passages_repeated_thousands_of_times():
     assert len(search("ab" * 30_000)) == 1000
 
 
-def test_starts_apart_from_exact_matches():
-    rng = random.Random(4)
-    for _ in range(200):
-        starts = sorted(rng.sample(range(200), rng.randint(0, 30)))
-        exact = sorted(rng.sample(starts, rng.randint(0, len(starts) // 3)))
-        size = rng.randint(1, 30)
-        assert d._apart(starts, exact, size) == [s for s in starts if all(abs(s - e) >= size for e in exact)]
+def least_distance(item, part):
+    """Least edit distance of the item to a whole substring of the part, by dynamic programming."""
+    return distance_to_substring(item, part)[0]
+
+
+def test_no_match_is_lost_beside_others():
+    """Exact and near copies side by side: what is reported is right and apart, and what lies between holds no further match."""
+    rng = random.Random(6)
+    for _ in range(120):
+        item = d.normalised("".join(rng.choices("abcd ", k=rng.randint(30, 70))))
+        k, parts = d.budget(item), []
+        for _ in range(rng.randint(1, 5)):
+            part = rng.choice([item, item[rng.randint(0, 3) :], item[: len(item) - rng.randint(0, 3)], _edited(rng, item, rng.randint(1, k + 1)), "zz yy"])
+            parts.append(part + rng.choice(["", "", " ", " q"]))
+        text = "".join(parts)
+        found = [(m["start"], m["stop"], m["distance"]) for m in d.Block([(1, item)], d.EDIT_RATE).search(text)]
+        at = 0
+        for start, stop, distance in found:
+            assert at <= start and distance <= k and least_distance(item, text[start:stop]) == distance
+            assert least_distance(item, text[at:start]) > k
+            at = stop
+        assert least_distance(item, text[at:]) > k
+        assert sum(x[2] == 0 for x in found) == text.count(item)
+
+
+def test_a_cut_copy_after_an_exact_one():
+    item = "the quick brown fox jumps over the lazy dog again and again"
+    found = d.Block([(1, item)], d.EDIT_RATE).search(item + item[3:])
+    assert [(m["start"], m["stop"], m["distance"]) for m in found] == [(0, len(item), 0), (len(item), 2 * len(item) - 3, 3)]
+
+
+def test_short_items_match_as_whole_words():
+    search = d.Block([(1, "42"), (2, "new york"), (3, "x")], d.EDIT_RATE).search
+    found = search("42 or 421, new york; new yorker, 142 and (42) in new york")
+    assert [(m["item_id"], m["start"]) for m in found] == [(1, 0), (2, 11), (1, 42), (2, 49)]
 
 
 def test_matches_and_their_places():
@@ -94,12 +122,12 @@ def test_pieces_cover_the_item():
 def test_frames(documents, spark):
     item = "an item of a benchmark that nobody should train upon"
     items = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (4, "short"), (None, item.upper() + "!")], "item_id long, text string")
-    rows = [(1, None), (2, ""), (3, "x " * 20_000 + item.replace(" ", " \n ").title()), (None, item), (3, "clean text here")]
+    rows = [(1, None), (2, ""), (5, "Short of it"), (6, "shorter"), (3, "x " * 20_000 + item.replace(" ", " \n ").title()), (None, item), (3, "clean text here")]
     for chars in (10, 1_000_000):
         found = d.with_matches(documents(rows).withColumnRenamed("lang", "matches_0"), items, "matches", block_chars=chars)
         assert [c for c in found.columns if c != "matches"] == ["doc_id", "text", "matches_0", "source", "n_chars"]
         got = sorted(((r.doc_id, sorted(str(m.item_id) for m in r.matches)) for r in found.collect()), key=repr)
-        assert got == sorted([(1, []), (2, []), (3, ["1", "1", "None"]), (None, ["1", "1", "None"]), (3, [])], key=repr)
+        assert got == sorted([(1, []), (2, []), (3, ["1", "1", "None"]), (None, ["1", "1", "None"]), (3, []), (5, ["4"]), (6, [])], key=repr)
     assert d.find_items(documents(rows), items.where("false")).where("size(matches) > 0").count() == 0
     assert d.find_items(documents([]), items).count() == 0
 

@@ -128,3 +128,19 @@ def test_query_on_the_whole_table(spark, sf_dir):
     prints = {i: brute_print(t) for i, t in texts.items()}
     assert {i: r.fingerprint for i, r in found.items()} == {i: f"{p:016x}" for i, p in prints.items()}
     assert {i: r.component_id for i, r in found.items()} == brute_components(prints)
+
+
+def test_a_fingerprint_of_null_ids_only_links_others(documents):
+    """Three prints two bits apart in a chain; the middle one has no id."""
+    prints = [0b0, 0b11, 0b1111]
+    spark = documents([]).sparkSession
+    table = spark.createDataFrame([(7, prints[0]), (None, prints[1]), (9, prints[2]), (None, 0xFFFF << 40)], "doc_id long, fp long")
+    found = {r.fp: r.component_id for r in simhash.classes(table).collect()}
+    assert found == {0: 7, 3: 7, 15: 7, 0xFFFF << 40: None}
+
+
+def test_no_class_loses_its_representative_to_a_shared_id(documents):
+    a, b = "one two three four five six seven", "completely different words stand in this other text"
+    rows = [(1, a), (5, a), (5, b), (9, b), (5, b), (None, a)]
+    kept = sorted(((r.doc_id, r.text) for r in simhash.representatives(documents(rows)).collect()), key=repr)
+    assert kept == sorted([(1, a), (5, b), (None, a)], key=repr)

@@ -1,3 +1,6 @@
+import dataclasses
+import math
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -48,7 +51,7 @@ def test_policies_and_ablation(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_queries_against_their_sql(spark, sf_dir, name):
     database = duckdb.connect()
-    for table in ("documents", "labels", "benchmark"):
+    for table in ("documents", "labels", "benchmark", "embeddings", "conversations"):
         database.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
     cursor = database.execute(ORACLE_SQL[name])
     columns = sorted(d[0] for d in cursor.description)
@@ -66,6 +69,59 @@ def test_isotonic_steps():
     assert (np.diff(levels) >= 0).all() and levels[1] == levels[2] == 10.5 / 21
 
 
+def test_fit_against_a_dense_solution(spark):
+    """Features by their formula and the ridge solution of all rows at once."""
+    import numpy as np
+
+    rng, d = np.random.default_rng(8), len(quality_classifier.STATISTICS)
+    x = rng.normal(size=(240, d)).astype(np.float32)
+    y = (x[:, 0] + x[:, 1] * x[:, 2] > 0).astype(int)
+    stats = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "doc_id long, x array<float>").repartition(5)
+    labels = spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)], "doc_id long, quality int")
+    model = quality_classifier.fit(stats, labels, F.col("doc_id") < 200, features=24)
+    calibrates = {r.doc_id for r in spark.range(240).selectExpr("id AS doc_id", "pmod(xxhash64(id), 5) = 0 AS c").where("c").collect()}
+    train = np.array([i for i in range(200)])
+    rows = np.array([i for i in train if i not in calibrates])
+    mean, scale = x[train].astype(float).mean(axis=0), x[train].astype(float).std(axis=0)
+    assert np.allclose(model.mean, mean, atol=1e-6) and np.allclose(model.scale, scale, atol=1e-6)
+    z = np.array([[math.cos(sum((row[j] - mean[j]) / scale[j] * model.projection[j, k] for j in range(d)) + model.phase[k]) * math.sqrt(2 / 24) for k in range(24)] + [1.0] for row in x[rows].astype(float)])
+    penalty = np.diag([quality_classifier.RIDGE * len(rows)] * 24 + [1e-9 * len(rows)])
+    dense = np.linalg.solve(z.T @ z + penalty, z.T @ y[rows])
+    assert np.allclose(model.ridge(x[rows].astype(float)), z @ dense, atol=1e-5)
+    # Features of many dimensions approximate the Gaussian kernel of the projection's scale.
+    wide = dataclasses.replace(model, projection=rng.normal(size=(d, 8192)) / math.sqrt(d), phase=rng.uniform(0, 2 * math.pi, 8192))
+    a, b = wide.features(x[:20].astype(float))[:, :-1], (x[:20].astype(float) - wide.mean) / wide.scale
+    kernel = np.exp(-((b[:, None, :] - b[None, :, :]) ** 2).sum(axis=2) / (2 * d))
+    assert np.abs(a @ a.T - kernel).max() < 0.08
+
+
+def test_isotonic_regression_against_all_monotone_fits():
+    """The steps are the least-squares monotone fit: no exchange between neighbours improves it."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        n = rng.integers(1, 9, 12)
+        k = np.array([rng.integers(0, m + 1) for m in n])
+        knots, levels = quality_classifier.isotonic(np.arange(12.0), n, k)
+        means = np.array([max(min(k[i : j + 1].sum() / n[i : j + 1].sum() for j in range(m, 12)) for i in range(m + 1)) for m in range(12)])
+        for m in range(12):
+            same = [i for i in range(12) if abs(means[i] - means[m]) < 1e-12]
+            total, positive = n[same].sum(), k[same].sum()
+            assert abs(np.interp(m, knots, levels) - (positive + 0.5) / (total + 1)) < 1e-9 or (np.diff((k[same].cumsum() + 0.5) / (n[same].cumsum() + 1)) != 0).any()
+
+
+def test_very_long_texts_and_bytes_that_are_no_text(documents, spark):
+    rows = [(1, "word and more\n" * 200_000), (2, "short"), (3, "plain words here " * 40)]
+    (long,) = [r for r in quality_rules.ledger(documents(rows)).collect() if r.doc_id == 1]
+    assert (long.n_words, long.n_lines, long.n_dup_lines, long.n_repeat_words) == (600_000, 200_000, 199_999, 600_000)
+    odd = spark.sql("SELECT 1L AS doc_id, CAST(X'61FF62' AS STRING) AS text")
+    (row,) = quality_rules.ledger(odd).collect()
+    assert (row.n_words, row.word_chars) == (1, 3)
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert len(quality_classifier.classify(documents(rows).union(odd.selectExpr("*", "'x'", "'y'", "1L")), none, id_fold(3) != 1).collect()) == 4
+
+
 def test_held_out_quality(spark, sf_dir):
     scored = QUERIES["op1_quality_classifier"](spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
