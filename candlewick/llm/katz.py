@@ -9,10 +9,12 @@ distributions sum to one.
 Pairs are grouped by history in buckets. A task packs the pairs of the texts it reads by
 bucket, sorted, so the one shuffle of all pairs moves a few bytes for each. A bucket then
 has everything about its histories, and looks its pairs up where they are: counts of
-counts, discount classes per document, mass per history and unseen pairs go to tables
-partitioned by kind, and the totals turn them into scores. A very frequent history is dealt over several
-buckets by the following word; such a history, like one without a discounted pair, keeps one occurrence
-more for unseen words.
+pairs, counts of counts, discount classes per document, mass per history and unseen pairs go to tables
+partitioned by kind, and the totals turn them into scores. Buckets are small. A frequent history is dealt over several
+by the following word, and what it has in each is summed; its total is known from the words, so documents keep how often they use it
+and divide by it at the end. Pairs of two of the very most frequent words, which can be too many for any
+one bucket, never go to one: a document keeps how often it has each, tasks combine their counts, and the table of
+these counts, bounded by the number of such words, is broadcast. (Module ``katz_orders`` has higher orders, by joins.)
 
 Words are known by their 64-bit hashes (XXH64). The most frequent ones (``FREQUENT`` at most)
 are broadcast with their counts; what concerns others is joined.
@@ -29,7 +31,7 @@ import pyarrow as pa
 import pyarrow.compute
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm.texts import Numbers, column, list_array, octets, pieces
@@ -38,9 +40,11 @@ from candlewick.workspace import new_folder, written
 DISCOUNTED = 5
 """Counts up to this one are discounted."""
 FREQUENT = 1 << 19
-PAIRS_IN_BUCKET = 3_000_000
-PAIRS_OF_HISTORY = 1_000_000
+PAIRS_IN_BUCKET = 600_000
+PAIRS_OF_HISTORY = 250_000
 """Occurrences of a history from which on it is dealt over several buckets."""
+TOP_WORDS = 512
+"""Words, the most frequent ones, of which pairs are counted apart from all others."""
 PIECE = 16 << 20
 
 SMALL = 1 << 32
@@ -79,6 +83,15 @@ class Unigrams:
     counts: np.ndarray
     low: int  # kinds of words that the discounts leave mass of
     history_pairs: int = PAIRS_OF_HISTORY
+    dealt: np.ndarray | None = None  # codes of the histories that are dealt out, ascending
+    top: np.ndarray | None = None  # those of them whose pairs are counted apart, ascending
+
+    def deal(self, history_pairs: int, top_words: int) -> None:
+        """Choose the histories that occur more often than ``history_pairs``; no rarer word than the known ones can."""
+        self.history_pairs = history_pairs
+        counts = np.r_[self.texts, self.counts]
+        self.dealt = np.flatnonzero(counts > history_pairs)
+        self.top = np.sort(self.dealt[np.argsort(-counts[self.dealt], kind="stable")[:top_words]])
 
     @property
     def whole(self) -> int:
@@ -104,6 +117,14 @@ class Unigrams:
         return np.where(small, np.r_[self.texts, self.counts][np.where(small, codes, 0)], -1)
 
 
+def _number(codes: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Places of codes in an ascending list; -1 for others."""
+    if not len(among):
+        return np.full(len(codes), -1)
+    at = np.minimum(np.searchsorted(among, codes), len(among) - 1)
+    return np.where(among[at] == codes, at, -1)
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """``w``, ``n`` of the training texts (``train``); the end of a text is a word too."""
 
@@ -177,8 +198,12 @@ def _unpacked(data: bytes) -> np.ndarray:
 #  pairs    packed pairs of a batch for a bucket
 #  seen     per text: pairs seen 1 to 5 times (c1 to c5), sum of all other logarithms (x)
 #  base     per text: known tokens and base sum of words that aren't frequent
+#  count    a history's seen pairs: following words (id) and counts (c1)
 #  types    numbers of pairs that occur 1 to 6 times (c1)
-#  history  seen kinds by count (c1), [occurrences seen more often, all] (id), mass in P of its frequent seen words (x)
+#  history  seen kinds by count (c1), [occurrences seen more often, all] (id), mass in P of its frequent seen words (x); batch 1 if dealt
+#  uses     texts' dealt histories (idx, id) and how often they have them (c1)
+#  top_uses the same for pairs of top words; they are in no other kind but
+#  top      training counts (c1) of such pairs (id)
 #  follower seen words of a history that aren't frequent (id)
 #  unseen   texts with pairs of a history that training text has not, one entry per pair (batch, idx)
 #  word     the words of such pairs that aren't frequent (batch, idx, id)
@@ -244,6 +269,15 @@ def _pairs_of(piece: pa.RecordBatch, model: Unigrams, buckets: int, batch: int,
     following[inner] = flat
     history[1:][inner[:-1]] = flat
     text = np.repeat(np.arange(len(texts)), lengths + 1)
+    dealt, top = _number(codes, model.dealt)[history], _number(codes, model.top)
+    of_top = (top[history] >= 0) & (top[following] >= 0)
+    top_pair = top[history] * len(model.top) + top[following]
+    apart = [
+        _uses("uses", text[dealt >= 0], dealt[dealt >= 0], max(len(model.dealt), 1), len(texts), batch),
+        _uses("top_uses", text[of_top], top_pair[of_top], max(len(model.top) ** 2, 1), len(texts), batch),
+        _told("top", 1, **dict(zip(("id", "c1"), ([x.tolist()] for x in np.unique(top_pair[of_top & train[text]], return_counts=True)), strict=True))),
+    ]
+    history, following, text = history[~of_top], following[~of_top], text[~of_top]
     shares = np.maximum(1, -(-np.maximum(counts, 0) // model.history_pairs))
     mix = _mixed(codes)
     salt = mix[following] % shares[history].astype(np.uint64)
@@ -260,17 +294,24 @@ def _pairs_of(piece: pa.RecordBatch, model: Unigrams, buckets: int, batch: int,
     table = pa.concat_tables([
         _told("text", 1, batch=batch, idx=[list(range(len(texts)))], id=[ids.to_pylist()], c1=[(~train).astype(int).tolist()], c2=[(lengths + 1).tolist()], known=[known.tolist()], x=[base.tolist()]),
         _told("pairs", len(payloads), batch=batch),
+        *apart,
     ])
-    table = table.add_column(0, "payload", pa.array([None, *payloads], pa.binary()))
-    table = table.add_column(0, "bucket", pa.array([batch % buckets, *[int(bucket[a]) for a, _ in slices]], pa.int32()))
+    table = table.add_column(0, "payload", pa.array([None, *payloads, *[None] * len(apart)], pa.binary()))
+    table = table.add_column(0, "bucket", pa.array([batch % buckets, *[int(bucket[a]) for a, _ in slices], *[batch % buckets] * len(apart)], pa.int32()))
     return table.combine_chunks().to_batches()[0]
 
 
+def _uses(kind: str, text: np.ndarray, what: np.ndarray, kinds: int, texts: int, batch: int) -> pa.Table:
+    """How often each text of a batch has what, as one row."""
+    keys, times = np.unique(text * kinds + what, return_counts=True)
+    return _told(kind, 1, batch=batch, idx=[(keys // kinds).tolist()], id=[(keys % kinds).tolist()], c1=[times.tolist()])
+
+
 def _bucket(table: pa.Table, model: Unigrams) -> pa.Table:
-    """What a bucket tells; texts pass through."""
-    is_text = pa.compute.equal(table["kind"], "text")
-    out = [table.filter(is_text).select(list(_FIELDS))]
-    packed = table.filter(pa.compute.invert(is_text))
+    """What a bucket tells; rows that aren't packed pairs pass through."""
+    is_packed = pa.compute.equal(table["kind"], "pairs")
+    out = [table.filter(pa.compute.invert(is_packed)).select(list(_FIELDS))]
+    packed = table.filter(is_packed)
     if packed.num_rows:
         blocks = [_unpacked(x) for x in packed["payload"].to_pylist()]
         h, w, signed = np.concatenate(blocks, axis=1)
@@ -281,6 +322,11 @@ def _bucket(table: pa.Table, model: Unigrams) -> pa.Table:
     return pa.concat_tables(out)
 
 
+def _whole(occurs: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """What a history's counts are divided by: how often it occurs, and once more where no pair of it is discounted, to leave something for unseen words."""
+    return occurs + ((low == 0) & (occurs > 0))
+
+
 def _sums_by_text(place: np.ndarray, columns: dict[str, np.ndarray], keys: np.ndarray, batches: np.ndarray, kind: str) -> pa.Table:
     """Sums by text (batch number * 2**32 + text), as one row of lists for each batch."""
     texts, inverse = np.unique(place, return_inverse=True)
@@ -316,8 +362,9 @@ def _looked_up(h: np.ndarray, w: np.ndarray, signed: np.ndarray, batch: np.ndarr
     here = np.bincount(history_of, train, n_histories).astype(np.int64)
     told = model.count_of(first_h)
     occurs = np.where(told >= 0, told, here)
-    dealt = (told > model.history_pairs)
-    whole = occurs + (dealt | ((low.sum(axis=1) == 0) & (occurs > 0)))
+    dealt = told > model.history_pairs
+    # A dealt history's pairs here are not all it has; texts divide by its total at the end.
+    whole = np.where(dealt, 1, np.maximum(_whole(occurs, low.sum(axis=1)), 1))
     word_count = model.count_of(pair_w)
     word_log = model.log_p(np.maximum(word_count, 0))
     mass = np.bincount(pair_history, np.where((count > 0) & (word_count >= 0), 10.0**word_log, 0.0), n_histories)
@@ -327,11 +374,15 @@ def _looked_up(h: np.ndarray, w: np.ndarray, signed: np.ndarray, batch: np.ndarr
     seen = c > 0
     backs_off = ~seen & (occurs[history_of] > 0)
     frequent = word_count[pair_of] >= 0
-    x = np.where(seen, np.log10(np.where(c > DISCOUNTED, c, 1)) - np.log10(np.maximum(whole[history_of], 1)), np.where(frequent, word_log[pair_of], 0.0))
+    x = np.where(seen, np.log10(np.where(c > DISCOUNTED, c, 1)) - np.log10(whole[history_of]), np.where(frequent, word_log[pair_of], 0.0))
     out = [
         _sums_by_text(place, {f"c{r}": c == r for r in range(1, DISCOUNTED + 1)} | {"x": x}, h, batches, "seen"),
         _told("types", 1, c1=[[int((count == r).sum()) for r in range(1, DISCOUNTED + 2)]]),
     ]
+    kept = count > 0
+    if kept.any():
+        sizes = np.bincount(pair_history[kept], minlength=n_histories)
+        out.append(_told("count", int((sizes > 0).sum()), h=pa.array(first_h[sizes > 0]), id=list_array(pair_w[kept], sizes[sizes > 0], pa.int64()), c1=list_array(count[kept], sizes[sizes > 0], pa.int64())))
     rare = told[history_of] < 0
     if rare.any():
         own = here[history_of[rare]]
@@ -341,8 +392,8 @@ def _looked_up(h: np.ndarray, w: np.ndarray, signed: np.ndarray, batch: np.ndarr
     needed |= dealt  # another bucket may need its part
     at = np.flatnonzero(needed)
     if len(at):
-        out.append(_told("history", len(at), h=pa.array(first_h[at]), c1=list_array(low[at].ravel(), np.full(len(at), DISCOUNTED), pa.int64()),
-                         id=list_array(np.stack([high[at], whole[at]], axis=1).ravel(), np.full(len(at), 2), pa.int64()), x=list_array(mass[at], np.ones(len(at), int), pa.float64())))
+        out.append(_told("history", len(at), h=pa.array(first_h[at]), batch=pa.array(dealt[at].astype(np.int64)), c1=list_array(low[at].ravel(), np.full(len(at), DISCOUNTED), pa.int64()),
+                         id=list_array(np.stack([high[at], occurs[at]], axis=1).ravel(), np.full(len(at), 2), pa.int64()), x=list_array(mass[at], np.ones(len(at), int), pa.float64())))
         follows = needed[pair_history] & (count > 0) & (word_count < 0)
         if follows.any():
             sizes = np.bincount(pair_history[follows], minlength=n_histories)
@@ -362,7 +413,7 @@ def _looked_up(h: np.ndarray, w: np.ndarray, signed: np.ndarray, batch: np.ndarr
 
 def scores(
     docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT,
-    history_pairs: int = PAIRS_OF_HISTORY, bucket_pairs: int = PAIRS_IN_BUCKET,
+    history_pairs: int = PAIRS_OF_HISTORY, bucket_pairs: int = PAIRS_IN_BUCKET, top_words: int = TOP_WORDS,
 ) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``, one row per input row.
 
@@ -376,7 +427,7 @@ def scores(
     narrow = narrow.select("doc_id", "text", F.coalesce(training, F.lit(False)).alias("train"))
     table = written(count_words(narrow), "unigrams")
     model = unigrams(table, frequent)
-    model.history_pairs = history_pairs
+    model.deal(history_pairs, top_words)
     buckets = max(8, math.ceil(model.total * 1.5 / bucket_pairs))
     sent = docs.sparkSession.sparkContext.broadcast(model)
     packed = pack_pairs(narrow, model, buckets)
@@ -391,38 +442,50 @@ def _totals(told: DataFrame, table: DataFrame, model: Unigrams) -> DataFrame:
     """Scores from what the buckets told."""
     kind = lambda name: told.where(F.col("kind") == name)
     types = kind("types").agg(*[F.sum(F.col("c1")[r]) for r in range(DISCOUNTED + 1)]).first()
-    factors = discounts([x or 0 for x in types])
+    top = _top_counts(kind("top"), len(model.top))
+    factors = discounts([(x or 0) + int((top == r).sum()) for r, x in enumerate(types, 1)])
     probability = _probability(model)
 
     # backoff weights
     words_of = kind("follower").select("h", F.explode("id").alias("w")).join(table, "w").groupBy("h").agg(F.sum(probability).alias("more"))
     kept = sum((F.sum(F.col("c1")[r] * float((r + 1) * factors[r])) for r in range(DISCOUNTED)), F.sum(F.col("id")[0]).cast("double"))
-    histories = kind("history").groupBy("h").agg(kept.alias("kept"), F.max(F.col("id")[1]).alias("whole"), F.sum(F.col("x")[0]).alias("mass"))
-    weight = (1 - F.col("kept") / F.col("whole")) / (1 - F.col("mass") - F.coalesce("more", F.lit(0.0)))
-    weights = histories.join(words_of, "h", "left").select("h", F.log10(weight).alias("log_weight"))
+    occurs, low = F.max(F.col("id")[1]), sum((F.sum(F.col("c1")[r]) for r in range(DISCOUNTED)), F.lit(0))
+    whole = occurs + F.when((low == 0) & (occurs > 0), 1).otherwise(0)
+    parts = kind("history").unionByName(_top_histories(told.sparkSession, model, top))
+    histories = parts.groupBy("h").agg(kept.alias("kept"), whole.alias("whole"), F.sum(F.col("x")[0]).alias("mass"), F.max("batch").alias("dealt"))
+    weight = F.log10((1 - F.col("kept") / F.col("whole")) / (1 - F.col("mass") - F.coalesce("more", F.lit(0.0))))
+    # Texts divide by the total of a dealt history for every use of it, so also for those that back off.
+    log_whole = F.log10(F.col("whole").cast("double"))
+    weights = histories.join(words_of, "h", "left").select("h", (weight + F.when(F.col("dealt") == 1, log_whole).otherwise(0.0)).alias("log_weight"), log_whole.alias("log_whole"), "dealt")
+    weights = written(weights, "backoff-weights")
+    of_dealt, of_top = _dealt_values(weights, model, top, factors)
     backed_off = kind("unseen").select("h", "batch", "idx").join(weights, "h").select("batch", F.explode("idx").alias("i"), F.col("log_weight").alias("v"))
     loose = kind("word").select("batch", F.explode(F.arrays_zip("idx", "id")).alias("p")).select("batch", F.col("p.idx").alias("i"), F.col("p.id").alias("w"))
     log_word = F.log10(F.coalesce(probability, F.lit(float(model.unknown))))
     unknown = loose.join(table, "w", "left").select("batch", "i", log_word.alias("v"))
     more = backed_off.union(unknown).groupBy("batch", "i").agg(F.sum("v").alias("v"))
     extra = more.groupBy("batch").agg(F.collect_list("i").alias("idx"), F.collect_list("v").alias("x"))
-    rows = kind("text").unionByName(kind("seen")).unionByName(kind("base"))
+    rows = told.where(F.col("kind").isin("text", "seen", "base", "uses", "top_uses"))
     rows = rows.drop("h").unionByName(extra.withColumn("kind", F.lit("extra")), allowMissingColumns=True)
     logs = [math.log10((r + 1) * factors[r]) for r in range(DISCOUNTED)]
     per_token = math.log10(model.total + model.kinds + 1)
     total = model.total
+    sent = told.sparkSession.sparkContext.broadcast((of_dealt, of_top))
 
     def added(group: pa.Table) -> pa.Table:
         text = group.filter(pa.compute.equal(group["kind"], "text")).to_pylist()[0]
         n = len(text["idx"])
         score, base, known = np.zeros(n), np.array(text["x"]), np.array(text["known"], np.int64)
-        for name in ("seen", "base", "extra"):
+        for name in ("seen", "base", "extra", "uses", "top_uses"):
             part = group.filter(pa.compute.equal(group["kind"], name))
             if not part.num_rows:
                 continue
             take = lambda c: pa.compute.list_flatten(part[c].combine_chunks()).to_numpy(zero_copy_only=False)  # noqa: B023, E731
             idx = take("idx")
-            if name == "base":
+            if name in ("uses", "top_uses"):
+                value = -sent.value[0] if name == "uses" else sent.value[1]
+                score += np.bincount(idx, take("c1") * value[take("id")], n)
+            elif name == "base":
                 base = base + np.bincount(idx, take("x"), n)
                 known = known + np.bincount(idx, take("known"), n).astype(np.int64)
             else:
@@ -437,6 +500,38 @@ def _totals(told: DataFrame, table: DataFrame, model: Unigrams) -> DataFrame:
     return rows.groupBy("batch").applyInArrow(added, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
 
 
+def _top_counts(rows: DataFrame, words: int) -> np.ndarray:
+    """Training counts of all pairs of top words, as a matrix; its size is bounded by their number."""
+    pairs = rows.select(F.explode(F.arrays_zip("id", "c1")).alias("p")).groupBy(F.col("p.id").alias("pair")).agg(F.sum("p.c1").alias("n"))
+    counts = np.zeros(words * words, np.int64)
+    for r in pairs.collect():
+        counts[r["pair"]] = r["n"]
+    return counts.reshape(words, words)
+
+
+def _top_histories(spark: SparkSession, model: Unigrams, top: np.ndarray) -> DataFrame:
+    """What pairs of top words add to the ``history`` rows of their histories."""
+    p = 10.0 ** model.log_p(model.count_of(model.top))
+    rows = []
+    for i, (code, counts) in enumerate(zip(model.top.tolist(), top, strict=True)):
+        low = [int((counts == r).sum()) for r in range(1, DISCOUNTED + 1)]
+        high, occurs = int(counts[counts > DISCOUNTED].sum()), int(model.count_of(model.top[i : i + 1])[0])
+        rows.append(("history", code, 1, None, [high, occurs], [float(p[counts > 0].sum())], None, low, None, None, None, None))
+    return spark.createDataFrame(rows, _SCHEMA)
+
+
+def _dealt_values(weights: DataFrame, model: Unigrams, top: np.ndarray, factors: list[float]) -> tuple[np.ndarray, np.ndarray]:
+    """log10 of the totals of the dealt histories, and log10 P, times the total, of all pairs of top words."""
+    log_whole, log_weight = np.zeros(len(model.dealt)), np.zeros(len(model.dealt))
+    for r in weights.where("dealt = 1").collect():
+        at = int(np.searchsorted(model.dealt, r["h"]))
+        log_whole[at], log_weight[at] = r["log_whole"], r["log_weight"] if r["log_weight"] is not None else 0.0
+    factor = np.r_[1.0, factors, 1.0][np.minimum(top, DISCOUNTED + 1)]
+    seen = np.log10(np.maximum(factor * top, 1e-300))
+    unseen = log_weight[np.searchsorted(model.dealt, model.top)][:, None] + model.log_p(model.count_of(model.top))[None, :]
+    return log_whole, np.where(top > 0, seen, unseen).ravel()
+
+
 def _probability(model: Unigrams) -> Column:
     """P of a word of the count table, as :meth:`Unigrams.log_p` has it."""
     cases = [(F.col("n") == r + 1, F.lit(model.factors[r])) for r in range(DISCOUNTED)]
