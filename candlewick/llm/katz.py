@@ -45,7 +45,7 @@ PAIRS_OF_HISTORY = 250_000
 """Occurrences of a history from which on it is dealt over several buckets."""
 TOP_WORDS = 512
 """Words, the most frequent ones, of which pairs are counted apart from all others."""
-PIECE = 16 << 20
+PIECE = 8 << 20
 
 SMALL = 1 << 32
 EDGE = int(np.uint64(xxhash.xxh64_intdigest(b"")).view(np.int64))
