@@ -1,10 +1,11 @@
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
 
-from candlewick.llm import katz
+from candlewick.llm import katz, katz_orders
 from candlewick.llm.queries import QUERIES
 from candlewick.llm.texts import id_fold
 
@@ -112,3 +113,79 @@ def test_query(spark, sf_dir):
     assert result.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     held = result.where("held_out").agg({"base_score": "sum", "score": "sum"}).first()
     assert held["sum(score)"] > held["sum(base_score)"]
+
+
+def brute_of_order(rows, order):
+    """Any order by dictionaries and plain recursion; also the sums of a few histories' distributions."""
+    texts = [(i, (t or "").encode().lower().split()) for i, t in rows]
+    counts = [Counter() for _ in range(order + 1)]
+    for i, own in texts:
+        if trains(i):
+            padded = [b""] * (order - 1) + own + [b""]
+            for at in range(order - 1, len(padded)):
+                for m in range(1, order + 1):
+                    counts[m][tuple(padded[at - m + 1 : at + 1])] += 1
+    factors = [None] + [katz.discounts([sum(v == r for v in counts[m].values()) for r in range(1, 7)]) for m in range(1, order + 1)]
+    followers = defaultdict(dict)
+    for m in range(1, order + 1):
+        for gram, n in counts[m].items():
+            followers[m, gram[:-1]][gram[-1]] = n
+    known = {g[0] for g in counts[1]}
+
+    def seen(m, h):
+        own = followers.get((m, h), {})
+        whole = sum(own.values()) + all(n > 5 for n in own.values())
+        return {w: n * (factors[m][n - 1] if n <= 5 else 1.0) / whole for w, n in own.items()}
+
+    unknown = 1 - sum(seen(1, ()).values())
+    memo = {}
+
+    def state(m, h):
+        if (m, h) not in memo:
+            own = seen(m, h)
+            memo[m, h] = own, (1 - sum(own.values())) / (1 - sum(p(m - 1, h[1:], w) for w in own)) if m > 1 and own else 1.0
+        return memo[m, h]
+
+    def p(m, h, w):
+        own, weight = state(m, h)
+        if w in own:
+            return own[w]
+        return weight * p(m - 1, h[1:], w) if m > 1 else unknown
+
+    out = []
+    for i, own in texts:
+        padded = [b""] * (order - 1) + own + [b""]
+        score = sum(math.log10(p(order, tuple(padded[at - order + 1 : at]), padded[at])) for at in range(order - 1, len(padded)))
+        out.append((str(i), len(own) + 1, sum(w in known for w in [*own, b""]), score))
+    histories = [h for m, h in followers if m == order][:25]
+    sums = [sum(p(order, h, w) for w in known) + p(order, h, b"no word of any text") for h in histories]
+    return sorted(out), sums
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_any_order_against_dictionaries(documents, order):
+    rng = random.Random(order)
+    rows = [(i, " ".join(rng.choices(["the", "a", "cat", "dog", "saw", "of", "and", f"rare{i}"], k=rng.randint(0, 40)))) for i in range(60)]
+    rows += [(3, rows[3][1]), (None, "The cat"), (70, None), (71, "words that nobody has seen"), (72, "the " * 3000)]
+    found = katz_orders.scores(documents(rows), id_fold(7) != 2, order).collect()
+    wanted, sums = brute_of_order(rows, order)
+    assert all(abs(s - 1) < 1e-9 for s in sums)
+    got = sorted((str(r.doc_id), r.n_tokens, r.n_known, r.score) for r in found)
+    assert [g[:3] for g in got] == [w[:3] for w in wanted]
+    assert [g[3] for g in got] == pytest.approx([w[3] for w in wanted], abs=1e-6)
+
+
+def test_both_modules_agree_on_pairs(documents):
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choices("a b c d e f g h".split(), k=rng.randint(0, 30)))) for i in range(80)]
+    packed = sorted((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in katz.scores(documents(rows), id_fold(7) != 2).collect())
+    joined = sorted((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in katz_orders.scores(documents(rows), id_fold(7) != 2, 2).collect())
+    assert [p[:5] for p in packed] == [j[:5] for j in joined]
+    assert [x for p in packed for x in p[5:]] == pytest.approx([x for j in joined for x in j[5:]], abs=1e-5)
+
+
+def test_no_rows_of_any_order(documents):
+    assert katz_orders.scores(documents([]), id_fold(7) != 2).count() == 0
+    held = next(i for i in range(100) if not trains(i))
+    (row,) = katz_orders.scores(documents([(held, "a b")]), id_fold(7) != 2).collect()
+    assert tuple(row) == (held, True, 3, 0, 0, 0.0, 0.0)
