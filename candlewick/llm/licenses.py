@@ -1,6 +1,8 @@
 """Licence scan: cosine of headers and licence files to licence templates, and inheritance down the directories.
 
-A file's units are its lines, its blocks (between blank lines) and its whole text. Each is
+A file's units are its lines, its blocks (between blank lines, or lines with comment marks
+only) and its whole text. Templates are titles, notices, standard headers, clauses and identifier lines, several a licence, so that a header is
+compared with headers and a licence file's heading or first paragraph with those. Each unit is
 compared with every template as a sparse vector of term counts, weighted by how rare the
 term is among the templates; a term that no template has counts as the rarest. A unit can
 reach the threshold only if it holds one of a few telling terms of a template (the other
@@ -11,32 +13,102 @@ licence of its own takes that of its nearest directory upwards that has a licenc
 All of it is DataFrame functions: no Python runs on the executors.
 """
 
+import json
 import math
 import re
+from collections.abc import Iterable
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Licence notices, by SPDX identifier.
-TEMPLATES: dict[str, str] = {
-    "MIT": "Released under the MIT License.",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-2.0": "This program is free software licensed under the GNU General Public License, version 2.",
-    "LGPL-3.0": "This library is licensed under the GNU Lesser General Public License, version 3.",
-    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms are permitted under the BSD 3-Clause License.",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "CC-BY-4.0": "Licensed under a Creative Commons Attribution 4.0 International License, CC BY 4.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC0-1.0": "Dedicated to the public domain under CC0 1.0 Universal.",
+from candlewick.workspace import written
+
+# Notices, titles, standard headers and clauses of licences, by SPDX identifier.
+TEXTS: dict[str, tuple[str, ...]] = {
+    "MIT": (
+        "Released under the MIT License.",
+        "The MIT License (MIT)",
+        "MIT License",
+        "This project is licensed under the terms of the MIT license.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), "
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+    ),
+    "Apache-2.0": (
+        "Licensed under the Apache License, Version 2.0.",
+        "Apache License Version 2.0, January 2004",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
+        "You may obtain a copy of the License at",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software "
+        "distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. "
+        "See the License for the specific language governing permissions and limitations under the License.",
+    ),
+    "GPL-3.0": (
+        "This work is licensed under the GNU General Public License, version 3.",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    "GPL-2.0": (
+        "This program is free software licensed under the GNU General Public License, version 2.",
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+        "the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    ),
+    "LGPL-3.0": (
+        "This library is licensed under the GNU Lesser General Public License, version 3.",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by "
+        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by "
+        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    "BSD-2-Clause": (
+        "BSD 2-Clause License",
+        "Licensed under the BSD 2-Clause License.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+        "and/or other materials provided with the distribution. "
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, "
+        "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+    ),
+    "BSD-3-Clause": (
+        "BSD 3-Clause License",
+        "Redistribution and use in source and binary forms are permitted under the BSD 3-Clause License.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission.",
+    ),
+    "ISC": (
+        "ISC License",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "Mozilla Public License Version 2.0",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ),
+    "Unlicense": ("This is free and unencumbered software released into the public domain.",),
+    "CC-BY-4.0": ("Licensed under a Creative Commons Attribution 4.0 International License, CC BY 4.0.", "Creative Commons Attribution 4.0 International Public License"),
+    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+    "CC0-1.0": ("Dedicated to the public domain under CC0 1.0 Universal.", "Creative Commons CC0 1.0 Universal"),
 }
+TEMPLATES: list[tuple[str, str]] = [(name, text) for name, texts in TEXTS.items() for text in (*texts, f"SPDX-License-Identifier: {name}")]
+"""Every text of every licence, and the line by which files name it."""
 # Words too common to tell a licence by.
-COMMON = frozenset("a and are by in is of or the this to under use".split())
+COMMON = frozenset("a all an and any are at be but by do for from if in into is it its may not of on one or see so such that the this to under use v was with without you".split())
 THRESHOLD = 0.75
 FILE_THRESHOLD = 0.8
 """Cosine of the whole text from which a file is a licence file, whatever its name."""
+BLANK = r"\n[^\nA-Za-z0-9]*\n"
+"""What stands between blocks: lines without a letter or digit, such as blank ones and bare comment marks."""
 LICENCE_NAME = r"(?i)^(licen[cs]e|copying|unlicense)([._-].*)?$"
 
 
@@ -45,15 +117,15 @@ def terms(text: str) -> list[str]:
 
 
 @cache
-def weights() -> tuple[dict[str, float], float, dict[str, dict[str, float]]]:
+def weights() -> tuple[dict[str, float], float, list[dict[str, float]]]:
     """Inverse document frequency of every template term, that of any other term, and the templates as unit vectors."""
-    bags = {name: terms(text) for name, text in TEMPLATES.items()}
-    idf = {t: math.log((1 + len(bags)) / (1 + sum(t in b for b in bags.values()))) + 1 for t in {t for b in bags.values() for t in b}}
-    vectors = {}
-    for name, bag in bags.items():
+    bags = [terms(text) for _, text in TEMPLATES]
+    idf = {t: math.log((1 + len(bags)) / (1 + sum(t in b for b in bags))) + 1 for t in {t for b in bags for t in b}}
+    vectors = []
+    for bag in bags:
         raw = {t: bag.count(t) * idf[t] for t in bag}
         norm = math.sqrt(sum(x * x for x in raw.values()))
-        vectors[name] = {t: x / norm for t, x in raw.items()}
+        vectors.append({t: x / norm for t, x in raw.items()})
     return idf, math.log(1 + len(bags)) + 1, vectors
 
 
@@ -65,7 +137,7 @@ def telling_terms(threshold: float = THRESHOLD) -> list[str]:
     Common words and numbers are listed last, if at all.
     """
     found: set[str] = set()
-    for vector in weights()[2].values():
+    for vector in weights()[2]:
         rest = sum(x * x for x in vector.values())
         for term in sorted(vector, key=lambda t: (t in COMMON or t.isdigit(), -vector[t], t)):
             if rest < threshold**2 - 1e-9:
@@ -78,16 +150,20 @@ def telling_terms(threshold: float = THRESHOLD) -> list[str]:
 def _tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     idf, _, vectors = weights()
     by_term = spark.createDataFrame(sorted(idf.items()), "term string, idf double")
-    by_template = spark.createDataFrame([(t, n, x) for n, v in sorted(vectors.items()) for t, x in sorted(v.items())], "term string, licence string, w double")
+    entries = [(t, i, TEMPLATES[i][0], x) for i, v in enumerate(vectors) for t, x in sorted(v.items())]
+    by_template = spark.createDataFrame(entries, "term string, template int, licence string, w double")
     return F.broadcast(by_term), F.broadcast(by_template)  # as large as the fixed templates
 
 
 def units(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``key``, ``place``, ``whole``, ``unit``: the lines, blocks and whole texts that may reach the threshold."""
-    pattern = f"(?i)(?<![a-z0-9])({'|'.join(telling_terms(threshold))})(?![a-z0-9])"
-    has = lambda c: F.rlike(c, F.lit(pattern))
+    """``key``, ``place``, ``whole``, ``unit``: the lines, blocks and whole texts that may reach the threshold.
+
+    Files without a telling term are out after one split of their text; of the others only units with such a term are looked at.
+    """
+    telling = _literal(telling_terms(threshold))
+    has = lambda c: F.arrays_overlap(_words(c), telling)
     some = files.where(has(F.col("text")))
-    parts = F.array_distinct(F.concat(F.split("text", r"\n"), F.split("text", r"\n[\t\r ]*\n")))
+    parts = F.array_distinct(F.concat(F.split("text", r"\n"), F.split("text", BLANK)))
     marked = F.concat(
         F.transform(F.filter(parts, has), lambda u: F.struct(F.lit(False).alias("whole"), u.alias("unit"))),
         F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("unit"))),
@@ -103,23 +179,27 @@ def _words(text: Column) -> Column:
 def _reach(unit: Column) -> Column:
     """The largest share of a template's squared length that lies on terms of the unit; no cosine is above its root."""
     idf, _, vectors = weights()
-    squares = {t: [v.get(t, 0.0) ** 2 for v in vectors.values()] for t in sorted(idf)}
-    by_term = F.create_map(*[x for t, row in squares.items() for x in (F.lit(t), F.array(*map(F.lit, row)))])
-    present = F.array_intersect(_words(unit), F.array(*map(F.lit, squares)))
-    none = F.array(*[F.lit(0.0)] * len(vectors))
+    squares = {t: [v.get(t, 0.0) ** 2 for v in vectors] for t in sorted(idf)}
+    by_term = F.from_json(F.lit(json.dumps(squares)), "map<string,array<double>>")  # folded once, before the scan
+    present = F.array_intersect(_words(unit), _literal(squares))
+    none = F.array_repeat(F.lit(0.0), len(vectors))
     return F.array_max(F.aggregate(present, none, lambda sums, t: F.zip_with(sums, by_term[t], lambda a, b: a + b)))
 
 
+def _literal(texts: Iterable[str]) -> Column:
+    return F.split(F.lit(" ".join(texts)), " ")
+
+
 def cosines(found: DataFrame) -> DataFrame:
-    """``key``, ``place``, ``whole``, ``licence``, ``cosine`` of every unit with every template that shares a term."""
+    """``key``, ``place``, ``whole``, ``template``, ``licence``, ``cosine`` of every unit with every template that shares a term."""
     by_term, by_template = _tables(found.sparkSession)
     unknown = weights()[1]
     each = found.select("key", "place", "whole", F.explode(_words(F.col("unit"))).alias("term")).where("term != ''")
     counted = each.groupBy("key", "place", "whole", "term").agg(F.count("*").alias("n"))
     weighted = counted.join(by_term, "term", "left").select("key", "place", "whole", "term", (F.col("n") * F.coalesce("idf", F.lit(unknown))).alias("x"))
     norms = weighted.groupBy("key", "place").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    dots = weighted.join(by_template, "term").groupBy("key", "place", "whole", "licence").agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
-    return dots.join(norms, ["key", "place"]).select("key", "place", "whole", "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("cosine"))
+    dots = weighted.join(by_template, "term").groupBy("key", "place", "whole", "template", "licence").agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
+    return dots.join(norms, ["key", "place"]).select("key", "place", "whole", "template", "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("cosine"))
 
 
 def _best(of: Column) -> Column:
@@ -138,9 +218,11 @@ def scan(files: DataFrame, path: Column, id_col: str = "doc_id", text_col: str =
     named = files.select(files[id_col].cast("bigint").alias("doc_id"), path.alias("path"), files[text_col].cast("string").alias("text"))
     directory = F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", "")).when(F.col("path").isNotNull(), "")
     keyed = named.select("*", F.xxhash64("doc_id", "path", "text").alias("key"), directory.alias("dir"), F.element_at(F.split("path", "/"), -1).rlike(LICENCE_NAME).alias("named"))
-    found = cosines(units(keyed, threshold)).where(F.col("cosine") >= threshold)
+    # The texts are read twice: for the few units that may fit, and for the paths, which stand for the files from here on.
+    found = cosines(written(units(keyed, threshold), "licence-units")).where(F.col("cosine") >= threshold)
+    keyed = written(keyed.drop("text"), "licence-paths")
     own = found.groupBy("key").agg(_best(F.col("licence")).alias("own"), F.max("cosine").alias("own_cosine"), F.max(F.when(F.col("whole"), F.col("cosine"))).alias("whole_cosine"))
-    rows = keyed.drop("text").join(own, "key", "left")
+    rows = keyed.join(own, "key", "left")
     is_file = F.col("own").isNotNull() & F.col("dir").isNotNull() & (F.col("named") | (F.coalesce("whole_cosine", F.lit(0.0)) >= FILE_THRESHOLD))
     licensed = rows.where(is_file).select("dir", F.col("own").alias("licence"), F.col("own_cosine").alias("cosine"))
     by_dir = licensed.groupBy("dir").agg(_best(F.col("licence")).alias("licence"), F.max("cosine").alias("cosine"))

@@ -43,7 +43,7 @@ FROM rules CROSS JOIN ledger GROUP BY rule
 """
 
 
-_TEMPLATES = ", ".join(f"('{name}', '{text}')" for name, text in licenses.TEMPLATES.items())
+_TEMPLATES = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(licenses.TEMPLATES))
 _ROWS = "(SELECT row_number() OVER () AS r, * FROM documents)"
 
 ORACLE_SQL["op7_license_scan"] = rf"""
@@ -52,14 +52,14 @@ WITH files AS MATERIALIZED (
 placed AS (
  SELECT *, CASE WHEN contains(path, '/') THEN regexp_replace(path, '/[^/]*$', '') ELSE '' END AS dir,
   regexp_matches(regexp_extract(path, '[^/]*$'), '{licenses.LICENCE_NAME}') AS named FROM files),
-templates(licence, body) AS (VALUES {_TEMPLATES}),
+templates(template, licence, body) AS (VALUES {_TEMPLATES}),
 template_terms AS (
- SELECT licence, term, count(*) AS n FROM (SELECT licence, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) AS term FROM templates) GROUP BY ALL),
+ SELECT template, licence, term, count(*) AS n FROM (SELECT template, licence, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) AS term FROM templates) GROUP BY ALL),
 idf AS (SELECT term, ln((1 + (SELECT count(*) FROM templates)) / (1 + count(*))) + 1 AS idf FROM template_terms GROUP BY term),
 template_weights AS (
- SELECT licence, term, n * idf / sqrt(sum(n * idf * n * idf) OVER (PARTITION BY licence)) AS w FROM template_terms JOIN idf USING (term)),
+ SELECT template, licence, term, n * idf / sqrt(sum(n * idf * n * idf) OVER (PARTITION BY template)) AS w FROM template_terms JOIN idf USING (term)),
 units AS (
- SELECT r, false AS whole, unnest(list_distinct(string_split(t, chr(10)) || string_split_regex(t, '\n[\t\r ]*\n'))) AS u FROM files
+ SELECT r, false AS whole, unnest(list_distinct(string_split(t, chr(10)) || string_split_regex(t, '{licenses.BLANK}'))) AS u FROM files
  UNION ALL SELECT r, true, t FROM files),
 numbered AS (SELECT row_number() OVER () AS k, r, whole, u FROM units),
 counted AS (
@@ -69,7 +69,7 @@ weighted AS (
 norms AS (SELECT k, sqrt(sum(x * x)) AS norm FROM weighted GROUP BY k),
 cosines AS (
  SELECT r, whole, licence, round(sum(x * w) / any_value(norm), 6) AS c
- FROM weighted JOIN template_weights USING (term) JOIN norms USING (k) GROUP BY k, r, whole, licence),
+ FROM weighted JOIN template_weights USING (term) JOIN norms USING (k) GROUP BY k, r, whole, template, licence),
 own AS (
  SELECT r, first(licence ORDER BY c DESC, licence) AS own, max(c) AS c, max(CASE WHEN whole THEN c END) AS wc
  FROM cosines WHERE c >= {licenses.THRESHOLD} GROUP BY r),
