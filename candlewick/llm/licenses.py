@@ -5,9 +5,9 @@ only) and its whole text. Templates are titles, notices, standard headers, claus
 compared with headers and a licence file's heading or first paragraph with those. Each unit is
 compared with every template as a sparse vector of term counts, weighted by how rare the
 term is among the templates; a term that no template has counts as the rarest. A unit can
-reach the threshold only if it holds one of a few telling terms of a template (the other
-terms together weigh too little), and all its terms must make up enough of that template. Other units
-are left out before their words are counted. A file without a
+reach the threshold only if it holds one of the telling terms of a template (the other
+terms together weigh too little), and if its cosine would when all other words came once. Other units
+are left out before their words become rows. A file without a
 licence of its own takes that of its nearest directory upwards that has a licence file.
 
 All of it is DataFrame functions: no Python runs on the executors.
@@ -169,21 +169,28 @@ def units(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("unit"))),
     )
     each = some.select("key", F.posexplode(marked).alias("place", "u")).select("key", "place", "u.whole", "u.unit")
-    return each.where(_reach(F.col("unit")) >= threshold**2 - 1e-9)
+    return each.where(_bound(F.col("unit")) >= threshold - 1e-6)
 
 
 def _words(text: Column) -> Column:
     return F.split(F.lower(text), "[^a-z0-9]+")
 
 
-def _reach(unit: Column) -> Column:
-    """The largest share of a template's squared length that lies on terms of the unit; no cosine is above its root."""
-    idf, _, vectors = weights()
-    squares = {t: [v.get(t, 0.0) ** 2 for v in vectors] for t in sorted(idf)}
-    by_term = F.from_json(F.lit(json.dumps(squares)), "map<string,array<double>>")  # folded once, before the scan
-    present = F.array_intersect(_words(unit), _literal(squares))
-    none = F.array_repeat(F.lit(0.0), len(vectors))
-    return F.array_max(F.aggregate(present, none, lambda sums, t: F.zip_with(sums, by_term[t], lambda a, b: a + b)))
+def _bound(unit: Column) -> Column:
+    """What no cosine of the unit with a template exceeds: its cosine if every term that no template has came once only.
+
+    Terms of templates are counted, others only told apart, so a long text costs no row per word.
+    """
+    idf, unknown, vectors = weights()
+    rows = {t: [idf[t], *[v.get(t, 0.0) for v in vectors]] for t in sorted(idf)}
+    by_term = F.from_json(F.lit(json.dumps(rows)), "map<string,array<double>>")  # folded once, before the scan
+    words = _words(unit)
+    present = F.array_intersect(words, _literal(rows))
+    counted = F.transform(present, lambda t: F.struct(by_term[t].alias("row"), ((F.size(words) - F.size(F.array_remove(words, t))) * by_term[t][0]).alias("x")))
+    dots = F.aggregate(counted, F.array_repeat(F.lit(0.0), 1 + len(vectors)), lambda sums, c: F.zip_with(sums, c["row"], lambda a, b: a + c["x"] * b))
+    known = F.aggregate(counted, F.lit(0.0), lambda total, c: total + c["x"] * c["x"])
+    others = F.size(F.array_remove(F.array_distinct(words), "")) - F.size(present)
+    return F.array_max(F.slice(dots, 2, len(vectors))) / F.sqrt(known + others * F.lit(unknown**2))
 
 
 def _literal(texts: Iterable[str]) -> Column:
