@@ -13,10 +13,9 @@ licence of its own takes that of its nearest directory upwards that has a licenc
 All of it is DataFrame functions: no Python runs on the executors.
 """
 
-import json
 import math
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -103,7 +102,7 @@ TEXTS: dict[str, tuple[str, ...]] = {
 TEMPLATES: list[tuple[str, str]] = [(name, text) for name, texts in TEXTS.items() for text in (*texts, f"SPDX-License-Identifier: {name}")]
 """Every text of every licence, and the line by which files name it."""
 # Words too common to tell a licence by.
-COMMON = frozenset("a all an and any are at be but by do for from if in into is it its may not of on one or see so such that the this to under use v was with without you".split())
+COMMON = frozenset("a all an and any are as at be but by do for from if in into is it its may not of on one or see so such that the this to under use v was with without you".split())
 THRESHOLD = 0.75
 FILE_THRESHOLD = 0.8
 """Cosine of the whole text from which a file is a licence file, whatever its name."""
@@ -161,36 +160,57 @@ def units(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Files without a telling term are out after one split of their text; of the others only units with such a term are looked at.
     """
     telling = _literal(telling_terms(threshold))
-    has = lambda c: F.arrays_overlap(_words(c), telling)
-    some = files.where(has(F.col("text")))
+    some = files.where(F.arrays_overlap(_words(F.col("text")), telling))
     parts = F.array_distinct(F.concat(F.split("text", r"\n"), F.split("text", BLANK)))
-    marked = F.concat(
-        F.transform(F.filter(parts, has), lambda u: F.struct(F.lit(False).alias("whole"), u.alias("unit"))),
-        F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("unit"))),
-    )
-    each = some.select("key", F.posexplode(marked).alias("place", "u")).select("key", "place", "u.whole", "u.unit")
-    return each.where(_bound(F.col("unit")) >= threshold - 1e-6)
+    split = lambda whole: lambda u: F.struct(F.lit(whole).alias("whole"), u.alias("unit"), _words(u).alias("words"))
+    marked = F.concat(F.filter(F.transform(parts, split(False)), lambda u: F.arrays_overlap(u["words"], telling)), F.array(split(True)(F.col("text"))))
+    # Behind the explode a unit's words are columns, so they are split and sorted once, however often the bound looks at them.
+    prepared = F.transform(marked, lambda u: F.struct(u["whole"], u["unit"], u["words"], _known(u["words"]).alias("known")))
+    each = some.select("key", F.posexplode(prepared).alias("place", "u")).select("key", "place", "u.whole", "u.unit", "u.words", "u.known")
+    passing = (_reach(F.col("known")) >= threshold**2 - 1e-9) & (_bound(F.col("words"), F.col("known")) >= threshold - 1e-6)
+    return each.where(passing).drop("words", "known")
+
+
+def _known(words: Column) -> Column:
+    """Those of the words that some template has, sorted."""
+    return F.array_sort(F.filter(words, lambda w: w.isin(*sorted(weights()[0]))))
 
 
 def _words(text: Column) -> Column:
     return F.split(F.lower(text), "[^a-z0-9]+")
 
 
-def _bound(unit: Column) -> Column:
-    """What no cosine of the unit with a template exceeds: its cosine if every term that no template has came once only.
+def _by_term(of: Callable[[str, dict[str, float]], float], first: bool = False) -> Column:
+    """A map from every template term to its value for each template (behind its idf, if asked); folded once, before the scan."""
+    idf, _, vectors = weights()
+    rows = {t: [*([idf[t]] if first else []), *[of(t, v) for v in vectors]] for t in sorted(idf)}
+    return F.create_map(*[x for t, row in rows.items() for x in (F.lit(t), F.array(*map(F.lit, row)))])
+
+
+def _reach(known: Column) -> Column:
+    """The largest share of a template's squared length that lies on any of the words; no cosine is above its root."""
+    squares, count = _by_term(lambda t, v: v.get(t, 0.0) ** 2), len(TEMPLATES)
+    none = F.array_repeat(F.lit(0.0), count)
+    return F.array_max(F.aggregate(F.array_distinct(known), none, lambda sums, t: F.zip_with(sums, squares[t], lambda a, b: a + b)))
+
+
+def _bound(words: Column, known: Column) -> Column:
+    """What no cosine of a unit with a template exceeds: its cosine if every word that no template has came once only.
 
-    Terms of templates are counted, others only told apart, so a long text costs no row per word.
+    ``known`` are counted, others only told apart, so a long text costs no row per word.
     """
-    idf, unknown, vectors = weights()
-    rows = {t: [idf[t], *[v.get(t, 0.0) for v in vectors]] for t in sorted(idf)}
-    by_term = F.from_json(F.lit(json.dumps(rows)), "map<string,array<double>>")  # folded once, before the scan
-    words = _words(unit)
-    present = F.array_intersect(words, _literal(rows))
-    counted = F.transform(present, lambda t: F.struct(by_term[t].alias("row"), ((F.size(words) - F.size(F.array_remove(words, t))) * by_term[t][0]).alias("x")))
-    dots = F.aggregate(counted, F.array_repeat(F.lit(0.0), 1 + len(vectors)), lambda sums, c: F.zip_with(sums, c["row"], lambda a, b: a + c["x"] * b))
-    known = F.aggregate(counted, F.lit(0.0), lambda total, c: total + c["x"] * c["x"])
+    unknown, count = weights()[1], len(TEMPLATES)
+    by_term = _by_term(lambda t, v: v.get(t, 0.0), first=True)
+    present = F.array_distinct(known)
+    # In sorted order a term's occurrences lie between its first place and that of the next term.
+    starts = F.transform(present, lambda t: F.array_position(known, t))
+    ends = F.concat(F.slice(starts, 2, F.size(known) + 1), F.array((F.size(known) + 1).cast("bigint")))
+    times = F.zip_with(starts, ends, lambda a, b: b - a)
+    counted = F.zip_with(present, times, lambda t, n: F.struct(by_term[t].alias("row"), (n * by_term[t][0]).alias("x")))
+    dots = F.aggregate(counted, F.array_repeat(F.lit(0.0), 1 + count), lambda sums, c: F.zip_with(sums, c["row"], lambda a, b: a + c["x"] * b))
+    length = F.aggregate(counted, F.lit(0.0), lambda total, c: total + c["x"] * c["x"])
     others = F.size(F.array_remove(F.array_distinct(words), "")) - F.size(present)
-    return F.array_max(F.slice(dots, 2, len(vectors))) / F.sqrt(known + others * F.lit(unknown**2))
+    return F.array_max(F.slice(dots, 2, count)) / F.sqrt(length + others * F.lit(unknown**2))
 
 
 def _literal(texts: Iterable[str]) -> Column:

@@ -65,12 +65,14 @@ def test_no_unit_at_the_threshold_is_left_out(spark):
     units = frame.select("key", F.lit(0).alias("place"), F.lit(True).alias("whole"), F.col("text").alias("unit"))
     every = {r.key for r in licenses.cosines(units).where(F.col("cosine") >= licenses.THRESHOLD).collect()}
     assert every <= {r.key for r in licenses.units(frame).collect()}
+    words = licenses._words(F.col("unit"))
+    bound = licenses._bound(words, licenses._known(words))
     # The bound is never below a cosine, and equal where other words come once.
-    bounds = {r.key: r.b for r in units.select("key", licenses._bound(F.col("unit")).alias("b")).collect()}
+    bounds = {r.key: r.b for r in units.select("key", bound.alias("b")).collect()}
     for r in licenses.cosines(units).groupBy("key").agg(F.max("cosine").alias("c")).collect():
         assert bounds[r.key] >= r.c - 1e-6
     once = "nowhere heard words beside " + MIT
-    (row,) = spark.createDataFrame([(once,)], "unit string").select(licenses._bound(F.col("unit")).alias("b")).collect()
+    (row,) = spark.createDataFrame([(once,)], "unit string").select(bound.alias("b")).collect()
     (best,) = licenses.cosines(spark.createDataFrame([(1, 0, True, once)], "key long, place int, whole boolean, unit string")).agg(F.max("cosine")).collect()
     assert abs(row.b - best[0]) < 1e-5
 
