@@ -184,7 +184,8 @@ def _by_term(of: Callable[[str, dict[str, float]], float], first: bool = False)
     """A map from every template term to its value for each template (behind its idf, if asked); folded once, before the scan."""
     idf, _, vectors = weights()
     rows = {t: [*([idf[t]] if first else []), *[of(t, v) for v in vectors]] for t in sorted(idf)}
-    return F.create_map(*[x for t, row in rows.items() for x in (F.lit(t), F.array(*map(F.lit, row)))])
+    # As one expression: thousands of literals one by one would take the driver longer than the scan.
+    return F.expr("map(" + ", ".join(f"'{t}', array({', '.join(f'{x!r}D' for x in row)})" for t, row in rows.items()) + ")")
 
 
 def _reach(known: Column) -> Column:
