@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.texts import Numbers, column, list_array, octets, pieces
+from candlewick.llm.texts import Numbers, column, frugal, give_back, list_array, octets, pieces
 from candlewick.workspace import new_folder, written
 
 DISCOUNTED = 5
@@ -141,7 +141,7 @@ def count_words(docs: DataFrame) -> DataFrame:
                     tally = Counter()
         yield _tallied(tally)
 
-    return docs.mapInArrow(run, "w bigint, n bigint").groupBy("w").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(frugal(run), "w bigint, n bigint").groupBy("w").agg(F.sum("n").alias("n"))
 
 
 def _hashed(strings) -> np.ndarray:
@@ -239,9 +239,10 @@ def pack_pairs(docs: DataFrame, model: Unigrams, buckets: int) -> DataFrame:
         for batch in batches:
             for piece in pieces(batch, limit=PIECE):
                 yield _pairs_of(piece, sent.value, buckets, number, squeeze)
+                give_back()
                 number += 1
 
-    return docs.mapInArrow(run, f"bucket int, payload binary, {_SCHEMA}")
+    return docs.mapInArrow(frugal(run), f"bucket int, payload binary, {_SCHEMA}")
 
 
 def _pairs_of(piece: pa.RecordBatch, model: Unigrams, buckets: int, batch: int, squeeze: zstandard.ZstdCompressor) -> pa.RecordBatch:
@@ -319,6 +320,8 @@ def _bucket(table: pa.Table, model: Unigrams) -> pa.Table:
         batch = np.repeat(np.arange(len(batches)), [b.shape[1] for b in blocks])
         del blocks
         out += _looked_up(h, w, signed, batch, batches, model)
+        del h, w, signed, batch
+    give_back()
     return pa.concat_tables(out)
 
 
@@ -493,6 +496,7 @@ def _totals(told: DataFrame, table: DataFrame, model: Unigrams) -> DataFrame:
                 if name == "seen":
                     value = value + sum(take(f"c{r + 1}") * logs[r] for r in range(DISCOUNTED))
                 score += np.bincount(idx, value, n)
+        give_back()
         tokens = np.array(text["c2"], np.int64)
         columns = [pa.array(text["id"], pa.int64()), pa.array(np.array(text["c1"]) == 1), pa.array(tokens), pa.array(known), pa.array([total] * n, pa.int64()), pa.array(base - tokens * per_token), pa.array(score)]
         return pa.Table.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])

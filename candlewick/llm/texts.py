@@ -1,5 +1,7 @@
 """Helpers shared by the operators: narrow inputs, bounded Arrow pieces, words, folds."""
 
+import contextlib
+import ctypes
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
@@ -47,6 +49,23 @@ def map_pieces(df: DataFrame, schema: str, make: Callable[[], Callable], text_co
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker stays alive, idle, beside the stages after its own."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def frugal(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` for a task, whose memory is given back when it ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        give_back()
+
+    return run
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
