@@ -173,6 +173,11 @@ ORACLE_SQL: dict[str, str] = {
         f"CASE WHEN trade_date = {AS_OF} THEN volume + 1 ELSE volume END AS volume",
         "dated",
     ),
+    "pipeline_stream_corrected": _bars(
+        'symbol_name, timeseries_name, bar_ts AS "timestamp", open, high, low, close, '
+        "CASE WHEN symbol_name = 'purchase' THEN volume + 1 ELSE volume END AS volume",
+        "dated",
+    ),
     "pipeline_delta_unchanged": _bars(f"trade_date, count(*) AS bars, trade_date = {AS_OF} AS rewritten", "dated", "GROUP BY trade_date"),
     "rollup_after_delta": _bars(
         f"""symbol_name, '5min' AS timeseries_name, time_bucket(INTERVAL 5 MINUTE, bar_ts) AS "timestamp",

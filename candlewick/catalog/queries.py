@@ -24,7 +24,8 @@ from candlewick.plans.rollup import keep_rollup, read_rollup, refresh_rollups
 from candlewick.plans.stored import latest_from_core, min_date_from_core, symbols_from_core
 from candlewick.schema import BAR_COLUMNS, DAILY, INTRADAY, RAW_BAR, VALUE_COLUMNS
 from candlewick.schema import THROTTLE_MARKER as THROTTLE_TEXT
-from candlewick.sources import core_table, payloads, raw_layer
+from candlewick.sources import core_table, folders, payloads, raw_layer
+from candlewick.streaming.landing import start_delta_stream
 from candlewick.workspace import new_folder, written
 
 AS_OF = date(2024, 1, 15)
@@ -460,6 +461,32 @@ def core_followed_scan(spark, sf_dir):
     return symbols_from_core(spark, _core(spark, sf_dir), FOLLOWED).select(BAR_COLUMNS)
 
 
+def _land_as(spark, bars, raw, load_date):
+    """Land bars in files whose names depend on symbol, timeframe and number alone, so landing a series again keeps its names."""
+    staged = new_folder(spark, "staged")
+    raw_layer.write_raw_layer(bars, staged, load_date)
+    for symbol in folders.children(spark, f"{staged}/load_date={load_date}"):
+        for timeframe in folders.children(spark, f"{staged}/load_date={load_date}/{symbol}"):
+            place = f"load_date={load_date}/{symbol}/{timeframe}"
+            parts = [c for c in folders.children(spark, f"{staged}/{place}") if c.startswith("part-")]
+            for number, part in enumerate(parts):
+                folders.delete(spark, f"{raw}/{place}/bars-{number}.csv")
+                folders.move(spark, f"{staged}/{place}/{part}", f"{raw}/{place}/bars-{number}.csv")
+
+
+@query
+def pipeline_stream_corrected(spark, sf_dir):
+    """Everything streamed in, then one symbol landed again under the same file names with corrected volumes, and streamed twice."""
+    raw, core, checkpoint = (new_folder(spark, name) for name in ("raw", "core", "stream"))
+    everything = all_bars(spark, sf_dir)
+    _land_as(spark, everything, raw, LANDED)
+    start_delta_stream(spark, raw, core, checkpoint).awaitTermination()
+    _land_as(spark, everything.where("symbol_name = 'purchase'").withColumn("volume", F.col("volume") + 1), raw, LANDED)
+    for _ in range(2):
+        start_delta_stream(spark, raw, core, checkpoint, corrections=True, open_from=LANDED).awaitTermination()
+    return core_table.read_core(spark, core).select(BAR_COLUMNS)
+
+
 def _load_then_mart(spark, sf_dir, mode):
     core, mart = new_folder(spark, "core"), new_folder(spark, "mart")
     run(spark, mode, _landed(spark, sf_dir), core, mart, LANDED, AS_OF)

@@ -60,6 +60,65 @@ def test_the_stream_refuses_a_name_that_was_taken(spark, paths, tmp_path):
         _stream(spark, paths)
 
 
+def _landed_later(tmp_path, seconds, symbol, load_date, *lines):
+    land(tmp_path / "raw", load_date, symbol, "1min", *lines)
+    path = tmp_path / "raw" / load_date / symbol / "1min" / "bars.csv"
+    later = time.time() + seconds
+    os.utime(path, (later, later))
+
+
+def test_the_stream_takes_corrections_under_the_same_name(spark, paths, tmp_path):
+    other = "2024-01-15 09:31:00,1,1,1,1,1"
+    for symbol in ("A+ B", "C"):
+        land(tmp_path / "raw", "2024-01-16", symbol, "1min", GOOD, other)
+    _stream(spark, paths)
+    assert folders.children(spark, f"{paths['checkpoint']}_files") == ["batch=0"]
+    _landed_later(tmp_path, 60, "A+ B", "2024-01-16", GOOD.replace(",1,1,1,1,1", ",2,2,2,2,5"), "bad,1,2,3,4,5")
+    land(tmp_path / "raw", "2024-01-17", "D", "1min", GOOD)
+    _stream(spark, paths, corrections=True)
+    stored = [
+        bar("A+ B", "1min", "2024-01-15 09:30:00", 2, 2, 2, 2, 5),
+        bar("A+ B", "1min", "2024-01-15 09:31:00"),
+        *[bar("C", "1min", f"2024-01-15 09:{m}:00") for m in (30, 31)],
+        bar("D", "1min", "2024-01-15 09:30:00"),
+    ]
+    assert _stored(spark, paths["core"]) == stored
+    (row,) = spark.read.parquet(quarantine_of(paths["core"])).collect()
+    assert (row.malformed_line, row.written_by) == ("bad,1,2,3,4,5", "stream-again-0")
+    names = folders.children(spark, f"{paths['checkpoint']}_files")
+    _stream(spark, paths, corrections=True)  # taken by now
+    assert folders.children(spark, f"{paths['checkpoint']}_files") == names
+    _landed_later(tmp_path, 120, "A+ B", "2024-01-16", GOOD.replace(",1,1,1,1,1", ",3,3,3,3,6"))
+    _stream(spark, paths, corrections=True)
+    assert _stored(spark, paths["core"])[0] == bar("A+ B", "1min", "2024-01-15 09:30:00", 3, 3, 3, 3, 6)
+
+
+def test_a_correction_that_was_cut_off_is_taken_at_the_next_start(spark, paths, tmp_path, monkeypatch):
+    land(tmp_path / "raw", "2024-01-16", "A", "1min", GOOD)
+    _stream(spark, paths)
+    _landed_later(tmp_path, 60, "A", "2024-01-16", GOOD.replace(",1,1,1,1,1", ",2,2,2,2,5"), "bad,1,2,3,4,5")
+    with monkeypatch.context() as broken:
+        broken.setattr("candlewick.streaming.landing.merge_bars", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            _stream(spark, paths, corrections=True)
+    _stream(spark, paths, corrections=True)
+    assert _stored(spark, paths["core"]) == [bar("A", "1min", "2024-01-15 09:30:00", 2, 2, 2, 2, 5)]
+    assert spark.read.parquet(quarantine_of(paths["core"])).count() == 1
+
+
+def test_closed_load_dates_are_not_listed(spark, paths, tmp_path):
+    for load_date, symbol in (("2024-01-16", "A"), ("2024-01-17", "B")):
+        land(tmp_path / "raw", load_date, symbol, "1min", GOOD)
+    _stream(spark, paths)
+    for load_date, symbol in (("2024-01-16", "A"), ("2024-01-17", "B")):
+        _landed_later(tmp_path, 60, symbol, load_date, GOOD.replace(",1,1,1,1,1", ",2,2,2,2,5"))
+    _stream(spark, paths, corrections=True, open_from="2024-01-17")
+    assert [r[-1] for r in _stored(spark, paths["core"])] == [1, 5]
+    _stream(spark, paths, corrections=True, open_from="2024-02-01")
+    _stream(spark, paths, corrections=True)
+    assert [r[-1] for r in _stored(spark, paths["core"])] == [5, 5]
+
+
 def test_the_stream_can_be_kept_to_a_day_and_symbols(spark, paths, tmp_path):
     for symbol in "AB":
         land(tmp_path / "raw", "2024-01-17", symbol, "1min", GOOD, "2024-01-16 09:30:00,1,1,1,1,1")
