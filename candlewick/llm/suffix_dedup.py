@@ -13,7 +13,8 @@ suffixes are ordered no further. The digits of the sort, the most significant on
 
 What falls together on the last digit is exactly a repeated window. Before each
 shuffle a task keeps the first of the equal runs or windows that it holds and settles the others on
-its own, so the most frequent passage leaves a task once.
+its own, so the most frequent passage leaves a task once. A gram with very many different runs, as a common
+beginning has, leaves a task with two of them; the others are dealt out by both digits.
 """
 
 from collections.abc import Iterator
@@ -34,6 +35,8 @@ CHUNK_BITS = 18
 TAG_BITS = 24
 START_BITS = 39
 """Documents below half a terabyte."""
+UNDER_GRAM = 2
+"""Different runs of a gram in a piece of texts that are dealt out by the gram; two show that it has several."""
 SECOND_DIGIT = (1 << 32) - 1
 """Of a window's hash, the part beside the first 64 bits: 96 bits tell windows apart, and shuffle smaller than 128."""
 
@@ -117,6 +120,21 @@ def _firsts(keys: list[np.ndarray], key: np.ndarray, at: np.ndarray) -> tuple[np
     return order[new], order[(key[order] != key[first]) | (at[order] != at[first])]
 
 
+def _dealt(h: np.ndarray, g: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First digits to deal out by, and sizes, of the different runs of a piece in order of ``h`` and ``g``.
+
+    All but ``UNDER_GRAM`` runs of a gram get a first digit made of both, so that no task gets them all, and a
+    negative size: they have company in their gram, wherever they are compared. As two runs are left under the gram, those that other
+    pieces send there find company too. Equal runs under different first digits both go on to
+    the last pass, which tells them by their windows.
+    """
+    places = np.arange(len(h))
+    opens = np.r_[True, h[1:] != h[:-1]][: len(h)]
+    apart = places - np.maximum.accumulate(np.where(opens, places, 0)) >= UNDER_GRAM
+    both = h.view(np.uint64) ^ g.view(np.uint64) * np.uint64(_BASE)
+    return np.where(apart, both.view(np.int64), h), np.where(apart, -n, n)
+
+
 def _key(docs: DataFrame, id_col: str, text_col: str) -> Column:
     """Orders documents as their ids do, and is never null: without an id, a large number made of the text."""
     unnamed = F.xxhash64(docs[text_col].cast("string")).bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
@@ -193,15 +211,16 @@ def _runs_of_piece(grams: Grams, texts: list[bytes], keys: np.ndarray) -> Iterat
         return
     h, g, key, at, n = (np.concatenate(x) for x in found)
     first, rest = _firsts([h, g], key, at)
-    yield _rows(h[first], g[first], key[first], at[first], n[first])
+    dealt, sizes = _dealt(h[first], g[first], n[first])
+    yield _rows(dealt, g[first], key[first], at[first], sizes)
     yield _settled(key[rest], at[rest], n[rest] + length - 1)
 
 
 def compared(rows: DataFrame, length: int, last: bool) -> DataFrame:
     """Rows with equal digits: all but the first become stretches to remove.
 
-    The first stays as it is (``g`` set) where its gram has other second digits as well,
-    unless this is the ``last`` pass. Rows are read in order; no group is held.
+    The first stays as it is (``g`` set) where its gram has other second digits as well, which a
+    negative size says of itself, unless this is the ``last`` pass. Rows are read in order; no group is held.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,6 +233,7 @@ def compared(rows: DataFrame, length: int, last: bool) -> DataFrame:
             if not batch.num_rows:
                 continue
             h, g, key, at, n = (column(batch, c).to_numpy() for c in _NAMES)
+            company, n = n < 0, np.abs(n)
             new_h = np.r_[before is None or h[0] != before[0], h[1:] != h[:-1]]
             new = new_h | np.r_[before is None or g[0] != before[1], g[1:] != g[:-1]]
             opened = np.maximum.accumulate(np.where(new, np.arange(len(h)), -1))  # the first row of each group; -1: in a batch before
@@ -229,13 +249,11 @@ def compared(rows: DataFrame, length: int, last: bool) -> DataFrame:
             opens = new_h[first]
             if waiting is not None and not opens[0]:
                 yield waiting
-            mixed = ~opens
+            mixed = ~opens | company[first]
             mixed[:-1] |= ~opens[1:]
-            if opens[-1]:
-                waiting = batch.slice(int(first[-1]), 1)
-            else:
-                waiting = None
-            yield batch.take(pa.array(first[mixed]))
+            waiting = None if mixed[-1] else batch.slice(int(first[-1]), 1)
+            kept = first[mixed]
+            yield _rows(h[kept], g[kept], key[kept], at[kept], n[kept])
 
     return rows.repartition("h").sortWithinPartitions("h", "g", "key", "at").mapInArrow(run, _ROW)
 

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql.functions import spark_partition_id
 
 from candlewick.llm import suffix_dedup
 from candlewick.llm.queries import QUERIES
@@ -99,3 +100,24 @@ def test_query_on_the_whole_table(spark, sf_dir):
     assert {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in found.items()} == {
         i: (len((texts[i] or "").encode()), sum(b - a for a, b in spans), len(spans), hashlib.sha256(kept).hexdigest()) for i, (spans, kept) in wanted.items()
     }
+
+
+def test_a_gram_with_many_continuations_is_dealt_out(documents, spark):
+    rng = random.Random(8)
+    start = "".join(rng.choices("abcdefgh ", k=90))
+    texts = {i: start + "".join(rng.choices("ijklmnop ", k=60)) for i in range(3000)}
+    texts |= {3000 + i: texts[7 * i] + "tail" for i in range(60)}
+    _check(documents, texts, 100)
+    docs = documents(list(texts.items()), 4).selectExpr("doc_id AS key", "text")
+    rows = suffix_dedup.runs_of(docs, 100)
+    assert max(r["count"] for r in rows.groupBy("h").count().collect()) <= 4 * suffix_dedup.UNDER_GRAM + 60
+    read = [r["count"] for r in rows.repartition(40, "h").groupBy(spark_partition_id()).count().collect()]
+    assert len(read) == 40 and max(read) <= 2 * np.median(read)
+
+
+def test_two_runs_of_a_gram_stay_under_it():
+    h, g, n = np.array([5, 5, 5, 9]), np.array([1, 2, 3, 1]), np.array([4, 4, 4, 4])
+    dealt, sizes = suffix_dedup._dealt(h, g, n)
+    assert dealt[:2].tolist() == [5, 5] and dealt[3] == 9 and dealt[2] not in (5, 9)
+    assert sizes.tolist() == [4, 4, -4, 4]
+    assert [x.tolist() for x in suffix_dedup._dealt(h[:0], g[:0], n[:0])] == [[], []]
