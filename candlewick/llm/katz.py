@@ -9,8 +9,8 @@ distributions sum to one.
 Pairs are grouped by history in buckets. A task packs the pairs of the texts it reads by
 bucket, sorted, so the one shuffle of all pairs moves a few bytes for each. A bucket then
 has everything about its histories, and looks its pairs up where they are: counts of
-pairs, counts of counts, discount classes per document, mass per history and unseen pairs go to tables
-partitioned by kind, and the totals turn them into scores. Buckets are small. A frequent history is dealt over several
+pairs, counts of counts, discount classes per document, mass per history and unseen pairs go to a table
+sorted by kind, and the totals turn them into scores. Buckets are small. A frequent history is dealt over several
 by the following word, and what it has in each is summed; its total is known from the words, so documents keep how often they use it
 and divide by it at the end. Pairs of two of the very most frequent words, which can be too many for any
 one bucket, never go to one: a document keeps how often it has each, tasks combine their counts, and the table of
@@ -46,6 +46,8 @@ PAIRS_OF_HISTORY = 250_000
 TOP_WORDS = 512
 """Words, the most frequent ones, of which pairs are counted apart from all others."""
 PIECE = 8 << 20
+ROW_GROUP = 4 << 20
+"""Bytes in a row group of what the buckets tell: a reader skips the groups of other kinds, and holds little at a time."""
 
 SMALL = 1 << 32
 EDGE = int(np.uint64(xxhash.xxh64_intdigest(b"")).view(np.int64))
@@ -435,10 +437,20 @@ def scores(
     sent = docs.sparkSession.sparkContext.broadcast(model)
     packed = pack_pairs(narrow, model, buckets)
     looked_up = packed.groupBy("bucket").applyInArrow(lambda group: _bucket(group, sent.value), _SCHEMA)
-    folder = new_folder(docs.sparkSession, "pairs")
-    looked_up.write.partitionBy("kind").parquet(folder)
-    told = docs.sparkSession.read.schema(_SCHEMA).parquet(folder)
-    return _totals(told, table, model)
+    return _totals(_stored(looked_up), table, model)
+
+
+def _stored(told: DataFrame) -> DataFrame:
+    """What the buckets tell as a table, one file a task, sorted by kind.
+
+    Files by kind would be a dozen a task. Without Hadoop's native library, creating one on a local file system starts
+    processes, each of which may count with the executor's whole memory until it has its own.
+    Rows may be long, so the size of a row group is looked at every 100 rows.
+    """
+    folder = new_folder(told.sparkSession, "pairs")
+    options = {"parquet.block.size": ROW_GROUP, "parquet.page.size.row.check.max": 100}
+    told.sortWithinPartitions("kind").write.options(**options).parquet(folder)
+    return told.sparkSession.read.schema(_SCHEMA).parquet(folder)
 
 
 def _totals(told: DataFrame, table: DataFrame, model: Unigrams) -> DataFrame:

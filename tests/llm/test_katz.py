@@ -1,8 +1,10 @@
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow.parquet as pq
 import pytest
 
 from candlewick.llm import katz, katz_orders
@@ -102,6 +104,24 @@ def test_counts_are_kept_by_kind(documents, spark, monkeypatch):
     assert sorted(r.n for r in counts.collect()) == [1, 1, 1, 2, 2, 3]
 
 
+def test_what_buckets_tell_takes_one_file_a_task_in_small_groups_by_kind(documents, spark, tmp_path, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices(["the", "a", "of", *[f"word{k}" for k in range(900)]], k=100))) for i in range(600)]
+    monkeypatch.setattr(katz, "new_folder", lambda session, name: str(tmp_path / name))
+    monkeypatch.setattr(katz, "ROW_GROUP", 1 << 16, raising=False)
+    assert_same(katz.scores(documents(rows), id_fold(7) != 2, frequent=400, history_pairs=200, bucket_pairs=10_000, top_words=2).collect(), rows)
+    files = list((tmp_path / "pairs").rglob("*.parquet"))
+    tasks = {re.search(r"part-(\d+)", f.name)[1] for f in files}
+    assert len(files) == len(tasks)
+    of_kind = Counter()
+    for file in files:
+        kinds = pq.read_table(file, columns=["kind"])["kind"].to_pylist()
+        assert kinds == sorted(kinds)
+        of_kind.update(set(kinds))
+        assert pq.ParquetFile(file).metadata.num_row_groups > 1
+    assert len(of_kind) == 12
+
+
 def test_without_training_text(documents):
     held = next(i for i in range(100) if not trains(i))
     (row,) = katz.scores(documents([(held, "a b")]), id_fold(7) != 2).collect()
